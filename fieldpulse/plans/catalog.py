@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from fieldpulse.functions.times import micros_between
+from fieldpulse.functions.times import micros_between, utc_literal
 from fieldpulse.operators import decode, dedup, outcome, referential, registry, validate, views, windows
 from fieldpulse.operators.quantile import HotGroups
 from fieldpulse.operators.windows import WindowPolicy
@@ -26,7 +27,7 @@ AS_OF = datetime(2024, 1, 15, 12, 30, 30)
 BATCH_TS = datetime(2024, 2, 2)
 READING = ("device_id", "metric_type", "value", "recorded_at", "ingested_at", "idempotency_key",
            "delivery_seq")
-# Arrival times that cut the deliveries into files, one per micro-batch.
+# Arrival times that cut the deliveries into micro-batches.
 SLICES = (datetime(2024, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2025, 1, 1))
 
 
@@ -58,25 +59,31 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_first_wins(known)
 
 
-def _sliced(rows: DataFrame, write: Callable[[DataFrame], None]) -> None:
-    """Writes files in arrival order, as the file source takes the oldest file first."""
-    for start, end in zip(SLICES, SLICES[1:]):
-        write(rows.where((F.col("ingested_at") >= F.lit(str(start)).cast("timestamp_ntz"))
-                         & (F.col("ingested_at") < F.lit(str(end)).cast("timestamp_ntz"))))
+def _deliver(rows: DataFrame, write: Callable[[DataFrame], None],
+             start: Callable[[], StreamingQuery]) -> None:
+    """Delivers rows in arrival order: each slice is written and then run to its end as one micro-batch."""
+    for first, end in zip(SLICES, SLICES[1:]):
+        arrived = F.col("ingested_at")
+        write(rows.where((arrived >= utc_literal(first)) & (arrived < utc_literal(end))))
+        start().awaitTermination()
 
 
-def _run_updates(stream: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
-    """Runs a stream in update mode over all its input; returns the emitted rows with their batch."""
-    out = scratch_dir(spark, purpose)
+def _run_updates(rows: DataFrame, transform: Callable[[DataFrame], DataFrame], spark: SparkSession,
+                 purpose: str) -> DataFrame:
+    """Streams rows through ``transform`` in update mode; returns the emitted rows with their batch."""
+    root = scratch_dir(spark, purpose)
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/rows"))
+    def sink(emitted: DataFrame, batch_id: int) -> None:
+        (emitted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/out"))
 
-    (stream.writeStream.outputMode("update").foreachBatch(write)
-     .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
-     .start().awaitTermination())
-    return spark.read.parquet(f"{out}/rows")
+    def start() -> StreamingQuery:
+        source = files.reading_requests(spark, f"{root}/in", "parquet", streaming=True)
+        return (transform(source).writeStream.outputMode("update").foreachBatch(sink)
+                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+
+    _deliver(rows, lambda part: part.write.mode("append").parquet(f"{root}/in"), start)
+    return spark.read.parquet(f"{root}/out")
 
 
 # -- sources and sinks -------------------------------------------------------------------------------
@@ -257,17 +264,15 @@ def dedup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_against_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = td.deliveries(spark, sf_dir)
     stored = dedup.dedup_first_wins(
-        deliveries.where(F.col("ingested_at") < F.lit("2024-01-16").cast("timestamp_ntz")))
-    batch = deliveries.where(F.col("ingested_at") >= F.lit("2024-01-08").cast("timestamp_ntz"))
+        deliveries.where(F.col("ingested_at") < utc_literal(datetime(2024, 1, 16))))
+    batch = deliveries.where(F.col("ingested_at") >= utc_literal(datetime(2024, 1, 8)))
     return dedup.dedup_against_store(batch, stored)
 
 
 @_query
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "deliveries")
-    _sliced(td.deliveries(spark, sf_dir), lambda rows: rows.write.mode("append").parquet(path))
-    source = files.reading_requests(spark, path, "parquet", streaming=True, max_files=1)
-    return _run_updates(stateful.dedup_stream(source), spark, "dedup-stream").select(*READING)
+    return _run_updates(
+        td.deliveries(spark, sf_dir), stateful.dedup_stream, spark, "dedup-stream").select(*READING)
 
 
 @_query
@@ -293,7 +298,7 @@ def lateness_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def late_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = windows.late_by(windows.lateness_class(td.readings(spark, sf_dir)))
-    return late.select("idempotency_key", _late_us())
+    return late.where(F.col("late_by").isNotNull()).select("idempotency_key", _late_us())
 
 
 @_query
@@ -372,10 +377,8 @@ def late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "readings")
-    _sliced(td.readings(spark, sf_dir), lambda rows: rows.write.mode("append").parquet(path))
-    source = files.reading_requests(spark, path, "parquet", streaming=True, max_files=1)
-    emitted = _run_updates(stateful.stream_window_metrics(source), spark, "window-stream")
+    emitted = _run_updates(
+        td.readings(spark, sf_dir), stateful.stream_window_metrics, spark, "window-stream")
     latest = emitted.groupBy(*windows.WINDOW_KEYS).agg(
         F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest"))
     return _rounded(latest.select(*windows.WINDOW_KEYS, "latest.*"))
@@ -484,10 +487,15 @@ def _ingested(spark: SparkSession, sf_dir: str) -> Store:
     root = scratch_dir(spark, "ingest")
     store = Store(spark, f"{root}/store").create()
     store.write_devices(td.devices(spark, sf_dir))
-    _sliced(td.messages(spark, sf_dir),
-            lambda rows: rows.write.mode("append").options(**files.JSON_TIMES).json(f"{root}/messages"))
-    source = files.reading_messages(spark, f"{root}/messages", streaming=True)
-    start_ingest(decode.payload_decode(source), store, f"{root}/checkpoint").awaitTermination()
+
+    def write(part: DataFrame) -> None:
+        part.write.mode("append").options(**files.JSON_TIMES).json(f"{root}/messages")
+
+    def start() -> StreamingQuery:
+        source = files.reading_messages(spark, f"{root}/messages", streaming=True)
+        return start_ingest(decode.payload_decode(source), store, f"{root}/checkpoint")
+
+    _deliver(td.messages(spark, sf_dir), write, start)
     return store
 
 
