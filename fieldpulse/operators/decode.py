@@ -37,7 +37,9 @@ def payload_decode(messages: DataFrame) -> DataFrame:
         "timestampFormat": INSTANT_FORMAT,
     })
     device_id = topic_device_id(F.col("topic"))
-    decoded = messages.withColumn("_request", parsed).withColumns({
+    # A generator is evaluated once per row: without it, later filters and fields would each be inlined
+    # down to a parse of their own.
+    decoded = messages.withColumn("_request", F.explode(F.array(parsed))).withColumns({
         "device_id": device_id,
         "decode_error": F.col("_request").isNull() | F.col(f"_request.{_CORRUPT}").isNotNull()
         | device_id.isNull(),
