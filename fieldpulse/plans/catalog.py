@@ -366,8 +366,7 @@ def window_metrics_close_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def current_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hour = WindowPolicy(bin=timedelta(hours=1))
-    return _rounded(windows.current_window(td.readings(spark, sf_dir), AS_OF, hour))
+    return _rounded(windows.current_window(td.readings(spark, sf_dir), AS_OF, DAY))
 
 
 @_query

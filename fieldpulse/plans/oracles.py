@@ -368,9 +368,7 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY device_id, metric_type, window_start"""),
         "current_window": _with(f"""
             SELECT {STATS}
-            FROM (SELECT *, date_trunc('hour', recorded_at) AS window_start FROM readings
-                  WHERE date_trunc('hour', recorded_at) = TIMESTAMP '2024-01-15 12:00:00'
-                    AND ingested_at <= date_trunc('hour', recorded_at) + to_seconds(3610))
+            FROM day_rows WHERE window_start = TIMESTAMP '2024-01-15 00:00:00'
             GROUP BY device_id, metric_type, window_start"""),
         "late_counts": _with("""
             SELECT count(*) FILTER (WHERE late_us > 0 AND late_us <= 10000000) AS late_accepted,

@@ -166,7 +166,7 @@ def device_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit(0))))
     return table(spark, sf_dir, "customer").withColumn("nth", patches).select(
         F.concat(F.lit("dev-"), key).alias("id"),
-        F.when(kind == 0, F.concat(F.lit("name-"), nth)).when(kind == 1, F.lit("   "))
+        F.when(kind == 0, F.concat(F.lit("name-"), nth)).when(kind == 1, F.lit("   "))
         .when(kind == 2, F.repeat(F.lit("n"), F.lit(129)))
         .when(kind == 3, F.concat(F.lit("both-"), nth)).alias("device_name"),
         F.when(kind == 3, F.lit("CAMERA")).when(kind == 4, F.lit("SENSOR"))
