@@ -11,10 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldpulse.session import scratch_dir
+
 
 @dataclass(frozen=True)
 class HotGroups:
@@ -37,28 +41,56 @@ CUT_OFFSETS = (-64, -16, -4, -1, 1, 4, 16, 64)
 
 
 def _fractions(q: float) -> list[float]:
-    return sorted({min(1.0, max(0.0, q + offset / ACCURACY)) for offset in CUT_OFFSETS})
+    return [min(1.0, max(0.0, q + offset / ACCURACY)) for offset in CUT_OFFSETS]
+
+
+def _slot_counts(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
+    """Rows per hash slot of the keys: at most ``hot.slots`` rows per task are shuffled."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(hot.slots))
+    return rows.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def hot_limit(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> int | None:
     """Row count above which a group is hot, or None if no group can be.
 
-    Counting every group would shuffle a row per group. Counting hash slots instead sends at most
-    ``hot.slots`` rows per task, and a group is no larger than its slot. Two numbers reach the driver.
+    Counting every group would shuffle a row per group; a group is no larger than its slot, so counting
+    slots is enough to rule hot groups out. Two numbers reach the driver.
     """
-    per_slot = rows.groupBy(F.pmod(F.xxhash64(*keys), F.lit(hot.slots)).alias("slot")).agg(
-        F.count(F.lit(1)).alias("n"))
-    seen = per_slot.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    seen = _slot_counts(rows, keys, hot).agg(
+        F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
     if seen["total"] is None:
         return None
     limit = max(hot.min_rows, seen["total"] // hot.max_groups)
     return limit if seen["largest"] > limit else None
 
 
+def _hot_groups(rows: DataFrame, keys: Sequence[str], value: str, q: float, hot: HotGroups,
+                limit: int) -> DataFrame:
+    """The hot groups with their average, count, wanted rank and cut points; at most ``hot.max_groups`` rows.
+
+    Only rows of hot slots are grouped. The result is written out, as several parts of the plan use it and
+    must agree on which groups are hot.
+    """
+    slots = _slot_counts(rows, keys, hot).where(F.col("_n") > limit).select("_slot")
+    groups = (rows.withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(hot.slots)))
+              .join(F.broadcast(slots), "_slot", "left_semi")
+              .groupBy(*keys)
+              .agg(F.avg(value).alias("average"),
+                   F.count(F.lit(1)).alias("count"),
+                   F.percentile_approx(value, _fractions(q), ACCURACY).alias("_cuts"))
+              .where(F.col("count") > limit)
+              .withColumn("_rank", F.ceil(F.col("count") * F.lit(q))))
+    path = scratch_dir(rows.sparkSession, "hot-groups")
+    groups.write.parquet(path)
+    return rows.sparkSession.read.schema(groups.schema).parquet(path)
+
+
 def _select_rank(rows: DataFrame, keys: Sequence[str], value: str, hot: DataFrame) -> DataFrame:
     """The ``_rank``-th smallest value of each hot group, as ``p``."""
-    placed = rows.join(F.broadcast(hot.select(*keys, "_cuts", "_rank")), list(keys)).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value))))
+    # The slice of a value is the number of cuts below it.
+    passed = [(F.get("_cuts", F.lit(i)) < F.col(value)).cast("int") for i in range(len(CUT_OFFSETS))]
+    placed = (rows.join(F.broadcast(hot.select(*keys, "_cuts", "_rank")), list(keys))
+              .withColumn("_slice", reduce(add, passed)).drop("_cuts"))
 
     # At most one row per hot group and cut, so these windows are small.
     in_order = Window.partitionBy(*keys).orderBy("_slice")
@@ -98,15 +130,9 @@ def group_stats(rows: DataFrame, keys: Sequence[str], value: str = "value", q: f
     if limit is None:
         return _ordinary_stats(rows, keys, value, q, name)
 
-    large = (rows.groupBy(*keys)
-             .agg(F.avg(value).alias("average"), F.count(F.lit(1)).alias("count"))
-             .where(F.col("count") > limit))
-    cuts = (rows.join(F.broadcast(large), keys)
-            .groupBy(*keys, "average", "count")
-            .agg(F.percentile_approx(value, _fractions(q), ACCURACY).alias("_cuts"))
-            .withColumn("_rank", F.ceil(F.col("count") * F.lit(q))))
-    selected = (cuts.select(*keys, "average", "count")
-                .join(_select_rank(rows, keys, value, cuts), keys)
+    large = _hot_groups(rows, keys, value, q, hot, limit)
+    selected = (large.select(*keys, "average", "count")
+                .join(_select_rank(rows, keys, value, large), keys)
                 .withColumnRenamed("p", name))
     ordinary = _ordinary_stats(rows.join(F.broadcast(large.select(*keys)), keys, "left_anti"),
                                keys, value, q, name)

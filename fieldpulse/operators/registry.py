@@ -84,9 +84,10 @@ def delete_outcome(deletes: DataFrame, devices: DataFrame, readings: DataFrame)
 
     A device with readings cannot be deleted.
     """
-    known = devices.select("id", F.lit(True).alias("_found"))
     used = _devices_with_readings(deletes, readings).withColumn("_used", F.lit(True))
-    marked = mark_first(deletes, "id", ORDER).join(known, "id", "left").join(used, "id", "left")
+    # One join per delete row, so that AQE may split the partition of an id that many rows name.
+    status = devices.select("id", F.lit(True).alias("_found")).join(used, "id", "left")
+    marked = mark_first(deletes, "id", ORDER).join(status, "id", "left")
     return marked.withColumn(
         "outcome",
         F.when(F.col("_found").isNull(), DEVICE_NOT_FOUND)

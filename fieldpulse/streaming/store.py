@@ -62,11 +62,10 @@ class Store:
         return self.spark.read.schema(_STORED).parquet(self._readings_path(self._current("readings_log")))
 
     def write_readings(self, rows: DataFrame, batch_id: int) -> None:
-        """Rows of one batch, in files of even size, ordered by time so that row groups can be skipped."""
+        """Stores the rows of one batch."""
         dated = rows.select(*READING.names).withColumns(
             {"event_date": F.to_date("recorded_at"), "batch_id": F.lit(batch_id).cast("long")})
-        evened = dated.hint("rebalance", "event_date").sortWithinPartitions("event_date", "recorded_at")
-        _overwrite(evened, self._readings_path(self._current("readings_log")), "event_date", "batch_id")
+        self._write_readings(dated, self._current("readings_log"))
 
     def compact_readings(self) -> None:
         """Rewrites all batches but the last, which may still be replayed, into few files per day.
@@ -78,10 +77,15 @@ class Store:
         last = rows.agg(F.max("batch_id")).first()[0]
         merged = rows.withColumn("batch_id", F.when(F.col("batch_id") == last, F.col("batch_id"))
                                  .otherwise(F.lit(COMPACTED)))
-        evened = merged.hint("rebalance", "event_date").sortWithinPartitions("event_date", "recorded_at")
-        _overwrite(evened, self._readings_path(version + 1), "event_date", "batch_id")
+        self._write_readings(merged, version + 1)
         self._log("readings_log", version + 1)
 
+    def _write_readings(self, rows: DataFrame, version: int) -> None:
+        # A day with most of the rows is split over tasks; time order lets later reads skip row groups.
+        order = ("event_date", "batch_id", "recorded_at")
+        evened = rows.hint("rebalance", "event_date").sortWithinPartitions(*order)
+        _overwrite(evened, self._readings_path(version), "event_date", "batch_id")
+
     # -- other outputs of a batch -----------------------------------------------------------------
 
     def rejects(self) -> DataFrame:
