@@ -35,6 +35,8 @@ def payload_decode(messages: DataFrame) -> DataFrame:
     parsed = F.from_json("payload", layout, {
         "columnNameOfCorruptRecord": _CORRUPT,
         "timestampFormat": INSTANT_FORMAT,
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
     })
     device_id = topic_device_id(F.col("topic"))
     # A generator is evaluated once per row: without it, later filters and fields would each be inlined

@@ -6,7 +6,7 @@ pass the device check use up their key; a row dropped as too late is stored and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.operators.decode import recorded_at_default
@@ -42,14 +42,19 @@ def check_deliveries(deliveries: DataFrame, devices: DataFrame) -> DataFrame:
         ~F.col("decode_error") & (F.size("violations") == 0) & F.col("device_known"))
 
 
+def rejection() -> Column:
+    """Why a checked delivery is not storable; null if it is."""
+    return (F.when(F.col("decode_error"), DECODE_ERROR)
+            .when(F.size("violations") > 0, INVALID)
+            .when(~F.col("device_known"), DEVICE_NOT_FOUND))
+
+
 def label_outcomes(checked: DataFrame, seen: DataFrame | None = None,
                    policy: WindowPolicy = DEFAULT_POLICY) -> DataFrame:
     """Labels checked deliveries. ``seen`` holds the keys stored before them."""
     marked = mark_first(checked, eligible=F.col("storable"), seen=seen)
     outcome = (
-        F.when(F.col("decode_error"), DECODE_ERROR)
-        .when(F.size("violations") > 0, INVALID)
-        .when(~F.col("device_known"), DEVICE_NOT_FOUND)
+        F.when(~F.col("storable"), rejection())
         .when(~F.col("is_first"), DUPLICATE)
         .when(F.col("lateness") == LATE_DROPPED, DROPPED_LATE)
         .when(F.col("lateness") == LATE_ACCEPTED, ACCEPTED_LATE)

@@ -1,8 +1,14 @@
 """The ingest stream: deliveries in, stored readings, rejects, outcome counts and window metrics out.
 
-Each micro-batch runs the batch operators and then writes. The device table is loaded per batch, so newly
-registered devices count; dedup looks at the stored keys, so it is exact and durable; and only the windows
-that a batch touched are computed again, from the stored readings, as p95 values cannot be merged.
+``start_ingest`` runs the batch operators on each micro-batch and then writes. The device table is loaded per
+batch, so newly registered devices count, and dedup looks at the stored keys: it reads the key column of the
+whole store per micro-batch, which suits large micro-batches.
+
+``start_stateful_ingest`` remembers the keys in the stream's state instead, so a micro-batch costs work for
+its own rows only, however large the store. Its device table is the one current at the start.
+
+Either way the first delivery of a key wins for all time, and only the windows that a batch touched are
+computed again, from the stored readings, as p95 values cannot be merged.
 """
 
 from __future__ import annotations
@@ -15,12 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldpulse.functions.times import utc_literal
 from fieldpulse.operators.dedup import seen_keys
 from fieldpulse.operators.outcome import (
-    check_deliveries, label_outcomes, outcome_counts, rejected_rows, stored_rows,
+    check_deliveries, label_outcomes, outcome_counts, rejected_rows, rejection, stored_rows,
 )
 from fieldpulse.operators.quantile import HotGroups
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
 )
+from fieldpulse.schemas import READING
+from fieldpulse.streaming.stateful import dedup_stream
 from fieldpulse.streaming.store import Store
 
 
@@ -47,6 +55,10 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
         labelled.unpersist()
         checked.unpersist()
 
+    _write_touched(store, batch_id, policy, hot)
+
+
+def _write_touched(store: Store, batch_id: int, policy: WindowPolicy, hot: HotGroups) -> None:
     touched = touched_metrics(store, batch_id, policy, hot)
     if touched is not None:
         store.write_metrics(touched, batch_id)
@@ -80,3 +92,29 @@ def start_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True}))
             .start())
+
+
+def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
+                          policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups(),
+                          **trigger) -> tuple[StreamingQuery, StreamingQuery]:
+    """Starts two streams over the same source: one stores readings, the other rejects.
+
+    Duplicates are the rows counted as ``storable`` in the first stream's progress events less the rows it
+    stored. Use a store that was filled this way from its first batch, as the state holds the keys.
+    """
+    trigger = trigger or {"availableNow": True}
+    checked = check_deliveries(deliveries, store.devices())
+    storable = checked.where("storable").select(*READING.names).observe(
+        "storable", F.count(F.lit(1)).alias("rows"))
+
+    def store_first(rows: DataFrame, batch_id: int) -> None:
+        # Staged, as AQE, which evens out the files, is off within a plan that has state.
+        store.write_readings(store.staged(rows, batch_id), batch_id)
+        _write_touched(store, batch_id, policy, hot)
+
+    readings = (dedup_stream(storable).writeStream.outputMode("update").foreachBatch(store_first)
+                .option("checkpointLocation", f"{checkpoint}/readings").trigger(**trigger).start())
+    rejects = (rejected_rows(checked.withColumn("outcome", rejection()))
+               .writeStream.foreachBatch(store.write_rejects)
+               .option("checkpointLocation", f"{checkpoint}/rejects").trigger(**trigger).start())
+    return readings, rejects

@@ -86,6 +86,12 @@ class Store:
         evened = rows.hint("rebalance", "event_date").sortWithinPartitions(*order)
         _overwrite(evened, self._readings_path(version), "event_date", "batch_id")
 
+    def staged(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows of one batch, written to the store's own scratch table and read back."""
+        path = f"{self._path('staging')}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     # -- other outputs of a batch -----------------------------------------------------------------
 
     def rejects(self) -> DataFrame:

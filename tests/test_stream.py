@@ -10,7 +10,7 @@ from fieldpulse.operators.windows import window_metrics
 from fieldpulse.schemas import DEVICE, READING, READING_REQUEST
 from fieldpulse.sources import messages as files
 from fieldpulse.sources import testdata as td
-from fieldpulse.streaming import ingest, stateful
+from fieldpulse.streaming import ingest, progress, stateful
 from fieldpulse.streaming.store import COMPACTED, Store
 
 METRICS = ("device_id", "metric_type", "window_start", "average", "p95", "count")
@@ -55,6 +55,8 @@ def test_stream_gives_the_batch_tables(spark, store, tmp_path):
     query = ingest.start_ingest(decode.payload_decode(source), store, str(tmp_path / "checkpoint"))
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    assert progress.drain_rate(query) > 0
+    assert [set(source) for source in progress.backlog(query).values()] == [{"end_offset", "outstanding"}]
 
     labelled = outcome.ingest_outcome(decode.payload_decode(messages), td.device_ids(spark, SF))
     stored = outcome.stored_rows(labelled).select(*READING.names)
@@ -123,6 +125,42 @@ def test_batches_share_windows_keys_and_new_devices(spark, store, deliveries):
     assert after == compacted and store.readings().count() == 4
 
 
+def test_stateful_ingest_gives_the_same_readings(spark, store, deliveries, tmp_path):
+    store.write_devices(device_rows(spark, "d1"))
+    full = deliveries(
+        ("a", "00:10", "00:13", 3.0), ("a", "00:10", "00:11", 1.0), ("u", "00:10", "00:12", 5.0, "d2"),
+        ("bad", "00:10", "00:14", None), ("b", "00:20", "00:15", 2.0), ("a", "00:10", "00:50", 9.0),
+        ("late", "00:30", "01:30", 8.0), ("late", "00:30", "01:31", 8.0), ("c", "00:40", "01:05", 4.0))
+    files_in_order(tmp_path, full.where("delivery_seq < 5"), full.where("delivery_seq BETWEEN 5 AND 8"))
+
+    def drain():
+        source = plain(files.reading_requests(spark, str(tmp_path / "in"), "parquet", streaming=True,
+                                              max_files=1))
+        queries = ingest.start_stateful_ingest(source, store, str(tmp_path / "checkpoint"))
+        for query in queries:
+            query.awaitTermination()
+        return queries
+
+    readings, _ = drain()
+    labelled = outcome.ingest_outcome(plain(full), device_rows(spark, "d1").select("id"))
+    stored = outcome.stored_rows(labelled).select(*READING.names)
+    assert sorted(store.readings().select(*READING.names).collect(), key=str) == sorted(
+        stored.collect(), key=str)
+    assert sorted(store.metrics().select(*METRICS).collect(), key=str) == sorted(
+        window_metrics(stored).select(*METRICS).collect(), key=str)
+    assert {(row["idempotency_key"], row["outcome"]) for row in store.rejects().collect()} == {
+        ("u", "DEVICE_NOT_FOUND"), ("bad", "INVALID")}
+    seen = [p["observedMetrics"]["storable"]["rows"] for p in readings.recentProgress if p["numInputRows"]]
+    assert sum(seen) - store.readings().count() == 3  # duplicates: two of a, one of late
+
+    # A later run knows the keys of the earlier one, and the devices registered since.
+    store.write_devices(device_rows(spark, "d1", "d2"))
+    files_in_order(tmp_path, deliveries(("u", "00:10", "00:55", 6.0, "d2"), ("a", "00:10", "00:56", 7.0)))
+    drain()
+    assert {(row["idempotency_key"], row["value"]) for row in store.readings().collect()} == {
+        ("a", 1.0), ("b", 2.0), ("late", 8.0), ("c", 4.0), ("u", 6.0)}
+
+
 def test_empty_batch(spark, store, deliveries):
     ingest.ingest_batch(plain(deliveries(("a", "00:10", "00:11", 1.0)).where("false")), 0, store)
     assert store.readings().count() == store.metrics().count() == store.rejects().count() == 0
