@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from fieldpulse.session import scratch_dir
 from fieldpulse.sources import messages as files
 from fieldpulse.sources import testdata as td
 from fieldpulse.streaming import stateful
-from fieldpulse.streaming.ingest import ingest_batch, start_ingest
+from fieldpulse.streaming.ingest import ingest_batch, start_ingest, start_stateful_ingest
 from fieldpulse.streaming.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,12 +60,13 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _deliver(rows: DataFrame, write: Callable[[DataFrame], None],
-             start: Callable[[], StreamingQuery]) -> None:
+             start: Callable[[], Iterable[StreamingQuery]]) -> None:
     """Delivers rows in arrival order: each slice is written and then run to its end as one micro-batch."""
     for first, end in zip(SLICES, SLICES[1:]):
         arrived = F.col("ingested_at")
         write(rows.where((arrived >= utc_literal(first)) & (arrived < utc_literal(end))))
-        start().awaitTermination()
+        for query in start():
+            query.awaitTermination()
 
 
 def _run_updates(rows: DataFrame, transform: Callable[[DataFrame], DataFrame], spark: SparkSession,
@@ -77,10 +78,10 @@ def _run_updates(rows: DataFrame, transform: Callable[[DataFrame], DataFrame], s
         (emitted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/out"))
 
-    def start() -> StreamingQuery:
+    def start() -> list[StreamingQuery]:
         source = files.reading_requests(spark, f"{root}/in", "parquet", streaming=True)
-        return (transform(source).writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+        return [transform(source).writeStream.outputMode("update").foreachBatch(sink)
+                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()]
 
     _deliver(rows, lambda part: part.write.mode("append").parquet(f"{root}/in"), start)
     return spark.read.parquet(f"{root}/out")
@@ -482,7 +483,7 @@ def reading_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- the ingest stream -------------------------------------------------------------------------------
 
-def _ingested(spark: SparkSession, sf_dir: str) -> Store:
+def _ingested(spark: SparkSession, sf_dir: str, run: Callable[..., Iterable[StreamingQuery]]) -> Store:
     root = scratch_dir(spark, "ingest")
     store = Store(spark, f"{root}/store").create()
     store.write_devices(td.devices(spark, sf_dir))
@@ -490,24 +491,38 @@ def _ingested(spark: SparkSession, sf_dir: str) -> Store:
     def write(part: DataFrame) -> None:
         part.write.mode("append").options(**files.JSON_TIMES).json(f"{root}/messages")
 
-    def start() -> StreamingQuery:
+    def start() -> Iterable[StreamingQuery]:
         source = files.reading_messages(spark, f"{root}/messages", streaming=True)
-        return start_ingest(decode.payload_decode(source), store, f"{root}/checkpoint")
+        return run(decode.payload_decode(source), store, f"{root}/checkpoint")
 
     _deliver(td.messages(spark, sf_dir), write, start)
     return store
 
 
+def _looking_up(*args) -> list[StreamingQuery]:
+    return [start_ingest(*args)]
+
+
 @_query
 def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir).readings().select(*READING)
+    return _ingested(spark, sf_dir, _looking_up).readings().select(*READING)
 
 
 @_query
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_ingested(spark, sf_dir).metrics())
+    return _rounded(_ingested(spark, sf_dir, _looking_up).metrics())
 
 
 @_query
 def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir).outcomes().groupBy("outcome").agg(F.sum("rows").alias("rows"))
+    return _ingested(spark, sf_dir, _looking_up).outcomes().groupBy("outcome").agg(F.sum("rows").alias("rows"))
+
+
+@_query
+def stateful_stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, start_stateful_ingest).readings().select(*READING)
+
+
+@_query
+def stateful_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_ingested(spark, sf_dir, start_stateful_ingest).metrics())

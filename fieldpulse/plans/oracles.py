@@ -218,15 +218,23 @@ def _with(select: str, **more: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in parts.items()) + "\n" + select
 
 
-def _outcomes(staged: str, select: str, **more: str) -> str:
-    return _with(select, staged=staged, outcomes=OUTCOMES, **more)
+def _outcomes(staged: str, select: str) -> str:
+    return _with(select, staged=staged, outcomes=OUTCOMES)
 
 
 def oracle_sql() -> dict[str, str]:
     patched = {"patch_errors": PATCH_ERRORS.format(devices="devices"),
                "patched": PATCHED.format(devices="devices")}
     registered = REGISTERED.format(at="2024-02-02 00:00:00")
-    messages_stored = {"accepted": "SELECT * FROM outcomes WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE')"}
+    stream_readings = _outcomes(
+        STAGED_MESSAGES,
+        f"SELECT {COLUMNS} FROM outcomes WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE', 'DROPPED_LATE')")
+    stream_metrics = _outcomes(
+        STAGED_MESSAGES,
+        f"""SELECT {STATS}
+            FROM (SELECT *, date_trunc('minute', recorded_at) AS window_start FROM outcomes
+                  WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE'))
+            GROUP BY device_id, metric_type, window_start""")
     return {
         "reading_messages": _with(
             r"SELECT topic, ingested_at, delivery_seq FROM stray"
@@ -406,16 +414,10 @@ def oracle_sql() -> dict[str, str]:
         "reading_counts": _with(
             "SELECT device_id, count(*) AS reading_count FROM stored GROUP BY device_id"),
 
-        "stream_readings": _outcomes(
-            STAGED_MESSAGES,
-            f"SELECT {COLUMNS} FROM outcomes"
-            " WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE', 'DROPPED_LATE')"),
-        "stream_metrics": _outcomes(
-            STAGED_MESSAGES,
-            f"""SELECT {STATS}
-                FROM (SELECT *, date_trunc('minute', recorded_at) AS window_start FROM accepted)
-                GROUP BY device_id, metric_type, window_start""",
-            **messages_stored),
+        "stream_readings": stream_readings,
+        "stream_metrics": stream_metrics,
+        "stateful_stream_readings": stream_readings,
+        "stateful_stream_metrics": stream_metrics,
         "stream_outcomes": _outcomes(
             STAGED_MESSAGES, "SELECT outcome, count(*) AS rows FROM outcomes GROUP BY outcome"),
     }
