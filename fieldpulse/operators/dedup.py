@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldpulse.operators.skew import HotGroups, spread_join
+
 KEY = "idempotency_key"
 ARRIVAL = ("ingested_at", "delivery_seq")
 
@@ -56,8 +58,8 @@ def seen_keys(batch: DataFrame, stored: DataFrame, key: str = KEY,
     """
     keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
     if keys.limit(max_broadcast + 1).count() <= max_broadcast:
-        return stored.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
-    return stored.select(key).join(keys, key, "left_semi").distinct()
+        keys = F.broadcast(keys)
+    return stored.select(key).join(keys, key, "left_semi")
 
 
 def dedup_against_store(batch: DataFrame, stored: DataFrame, key: str = KEY,
@@ -68,13 +70,13 @@ def dedup_against_store(batch: DataFrame, stored: DataFrame, key: str = KEY,
 
 
 def resolve_duplicates(deliveries: DataFrame, stored: DataFrame, key: str = KEY,
-                       order: Sequence[str] = ARRIVAL) -> DataFrame:
+                       order: Sequence[str] = ARRIVAL, hot: HotGroups = HotGroups()) -> DataFrame:
     """Each delivery that is not the stored row of its key, answered with that stored row."""
     answer = stored.select(key, *[F.col(c).alias(f"stored_{c}") for c in stored.columns if c != key])
     same = F.lit(True)
     for name in order:
         same = same & (F.col(name) == F.col(f"stored_{name}"))
-    return deliveries.select(key, *order).join(answer, key).where(~same)
+    return spread_join(deliveries.select(key, *order), answer, [key], order[-1], "inner", hot).where(~same)
 
 
 def duplicate_count(deliveries: DataFrame, key: str = KEY) -> DataFrame:

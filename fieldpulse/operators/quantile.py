@@ -10,29 +10,13 @@ small that slice is, never what the answer is.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.session import scratch_dir
-
-
-@dataclass(frozen=True)
-class HotGroups:
-    """When a group is too large for one task.
-
-    A group is hot above ``min_rows`` rows and above 1/``max_groups`` of all rows. The second condition
-    bounds the number of hot groups by ``max_groups``, so their keys can be broadcast at any scale.
-    ``slots`` bounds the counters of the first look at the data. At 10**12 rows a group of 5 million is hot.
-    """
-
-    min_rows: int = 1_000_000
-    max_groups: int = 200_000
-    slots: int = 1 << 21
-
+from fieldpulse.operators.skew import HotGroups, hot_groups, hot_limit
 
 # Distance of the cuts from the wanted quantile. The sketch errs by 1/ACCURACY of the rows at most, so
 # the slice with the rank holds about 2/ACCURACY of them.
@@ -44,47 +28,6 @@ def _fractions(q: float) -> list[float]:
     return [min(1.0, max(0.0, q + offset / ACCURACY)) for offset in CUT_OFFSETS]
 
 
-def _slot_counts(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
-    """Rows per hash slot of the keys: at most ``hot.slots`` rows per task are shuffled."""
-    slot = F.pmod(F.xxhash64(*keys), F.lit(hot.slots))
-    return rows.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def hot_limit(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> int | None:
-    """Row count above which a group is hot, or None if no group can be.
-
-    Counting every group would shuffle a row per group; a group is no larger than its slot, so counting
-    slots is enough to rule hot groups out. Two numbers reach the driver.
-    """
-    seen = _slot_counts(rows, keys, hot).agg(
-        F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
-    if seen["total"] is None:
-        return None
-    limit = max(hot.min_rows, seen["total"] // hot.max_groups)
-    return limit if seen["largest"] > limit else None
-
-
-def _hot_groups(rows: DataFrame, keys: Sequence[str], value: str, q: float, hot: HotGroups,
-                limit: int) -> DataFrame:
-    """The hot groups with their average, count, wanted rank and cut points; at most ``hot.max_groups`` rows.
-
-    Only rows of hot slots are grouped. The result is written out, as several parts of the plan use it and
-    must agree on which groups are hot.
-    """
-    slots = _slot_counts(rows, keys, hot).where(F.col("_n") > limit).select("_slot")
-    groups = (rows.withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(hot.slots)))
-              .join(F.broadcast(slots), "_slot", "left_semi")
-              .groupBy(*keys)
-              .agg(F.avg(value).alias("average"),
-                   F.count(F.lit(1)).alias("count"),
-                   F.percentile_approx(value, _fractions(q), ACCURACY).alias("_cuts"))
-              .where(F.col("count") > limit)
-              .withColumn("_rank", F.ceil(F.col("count") * F.lit(q))))
-    path = scratch_dir(rows.sparkSession, "hot-groups")
-    groups.write.parquet(path)
-    return rows.sparkSession.read.schema(groups.schema).parquet(path)
-
-
 def _select_rank(rows: DataFrame, keys: Sequence[str], value: str, hot: DataFrame) -> DataFrame:
     """The ``_rank``-th smallest value of each hot group, as ``p``."""
     # The slice of a value is the number of cuts below it.
@@ -130,7 +73,12 @@ def group_stats(rows: DataFrame, keys: Sequence[str], value: str = "value", q: f
     if limit is None:
         return _ordinary_stats(rows, keys, value, q, name)
 
-    large = _hot_groups(rows, keys, value, q, hot, limit)
+    # With average, wanted rank and cut points; small enough to broadcast.
+    large = hot_groups(
+        rows, keys, hot, limit,
+        F.avg(value).alias("average"),
+        F.percentile_approx(value, _fractions(q), ACCURACY).alias("_cuts"),
+        F.ceil(F.count(F.lit(1)) * F.lit(q)).alias("_rank"))
     selected = (large.select(*keys, "average", "count")
                 .join(_select_rank(rows, keys, value, large), keys)
                 .withColumnRenamed("p", name))

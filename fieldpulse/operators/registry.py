@@ -67,7 +67,8 @@ def patch_outcome(patches: DataFrame, devices: DataFrame) -> DataFrame:
 
 def patch_devices(patches: DataFrame, devices: DataFrame, batch_ts: datetime) -> DataFrame:
     """The next snapshot. Of each field, the last value given wins; absent fields are kept."""
-    good = patch_outcome(patches, devices).where(F.col("error").isNull())
+    # Patches of unknown devices fall away in the join below, so they need no check of their own here.
+    good = patches.where(patch_error(F.lit(True)).isNull())
     folded = good.groupBy("id").agg(*[
         F.expr(f"max_by({name}, struct({', '.join(ORDER)})) FILTER (WHERE {name} IS NOT NULL)")
         .alias(f"_{name}") for name in ("device_name", "device_type")

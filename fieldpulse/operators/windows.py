@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import bin_start, floor_to, utc_literal
-from fieldpulse.operators.quantile import HotGroups, group_stats
+from fieldpulse.operators.quantile import group_stats
+from fieldpulse.operators.skew import HotGroups, spread_join
 
 # Fixed values.
 ON_TIME = "ON_TIME"
@@ -23,6 +24,9 @@ LATE_DROPPED = "LATE_DROPPED"
 
 WINDOW_KEYS = ("device_id", "metric_type", "window_start")
 
+# Windows that may be broadcast: about 100 bytes each, so at most some 100 MB.
+MAX_BROADCAST_WINDOWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class WindowPolicy:
@@ -105,10 +109,18 @@ def window_metrics(readings: DataFrame, policy: WindowPolicy = DEFAULT_POLICY,
     """Average, p95 and count per window of the stored readings that count, or just of windows in ``only``."""
     accepted = drop_too_late(readings, policy)
     if only is not None:
-        accepted = accepted.join(only, list(keys), "left_semi")
+        accepted = _within(accepted, only, keys, hot)
     return group_stats(accepted, keys, hot=hot)
 
 
+def _within(rows: DataFrame, only: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
+    """Rows of the given windows; few windows are broadcast, so that the rows are not shuffled for it."""
+    only = only.select(*keys).distinct()
+    if only.limit(MAX_BROADCAST_WINDOWS + 1).count() <= MAX_BROADCAST_WINDOWS:
+        return rows.join(F.broadcast(only), list(keys), "left_semi")
+    return spread_join(rows, only, keys, "idempotency_key", "left_semi", hot)
+
+
 def current_window(readings: DataFrame, as_of: datetime, policy: WindowPolicy = DEFAULT_POLICY,
                    hot: HotGroups = HotGroups()) -> DataFrame:
     """Metrics of the window that holds ``as_of`` (UTC); a group without data has no row.

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.functions.times import micros_between, utc_literal
 from fieldpulse.operators import decode, dedup, outcome, referential, registry, validate, views, windows
-from fieldpulse.operators.quantile import HotGroups
+from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import WindowPolicy
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources import messages as files

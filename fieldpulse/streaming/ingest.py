@@ -23,7 +23,7 @@ from fieldpulse.operators.dedup import seen_keys
 from fieldpulse.operators.outcome import (
     check_deliveries, label_outcomes, outcome_counts, rejected_rows, rejection, stored_rows,
 )
-from fieldpulse.operators.quantile import HotGroups
+from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
 )
@@ -79,8 +79,7 @@ def touched_metrics(store: Store, batch_id: int, policy: WindowPolicy = DEFAULT_
     inside = (F.col("event_date").between(span["first"].date(), end.date())
               & (F.col("recorded_at") >= utc_literal(span["first"]))
               & (F.col("recorded_at") < utc_literal(end)))
-    windows = added.select(*WINDOW_KEYS).distinct()
-    return window_metrics(readings.where(inside), policy, hot=hot, only=windows)
+    return window_metrics(readings.where(inside), policy, hot=hot, only=added.select(*WINDOW_KEYS))
 
 
 def start_ingest(deliveries: DataFrame, store: Store, checkpoint: str,

@@ -4,6 +4,7 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from fieldpulse.operators import dedup
+from fieldpulse.operators.skew import HotGroups
 
 
 def rows_of(frame, *names):
@@ -60,9 +61,10 @@ def test_against_store(deliveries):
 def test_duplicates_answer_with_the_stored_row(deliveries):
     frame = deliveries(("a", "00:10", "00:11", 1.0), ("a", "00:10", "00:20", 5.0, "d2"),
                        ("b", "00:10", "00:11", 1.0))
-    answers = dedup.resolve_duplicates(frame, dedup.dedup_first_wins(frame))
-    assert rows_of(answers, "idempotency_key", "delivery_seq", "stored_device_id", "stored_value") == [
-        ("a", 1, "d1", 1.0)]
+    for hot in (HotGroups(), HotGroups(min_rows=1)):
+        answers = dedup.resolve_duplicates(frame, dedup.dedup_first_wins(frame), hot=hot)
+        assert rows_of(answers, "idempotency_key", "delivery_seq", "stored_device_id", "stored_value") == [
+            ("a", 1, "d1", 1.0)]
     assert dedup.duplicate_count(frame).first()[0] == 1
     assert dedup.duplicate_count(frame.where("false")).first()[0] == 0
 

@@ -5,7 +5,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from fieldpulse.operators.quantile import HotGroups, group_stats, hot_limit
+from fieldpulse.operators.quantile import group_stats
+from fieldpulse.operators.skew import HotGroups, hot_limit, spread_join
 
 ALL_HOT = HotGroups(min_rows=0, max_groups=1_000_000, slots=64)
 
@@ -67,3 +68,30 @@ def test_limit(spark):
     assert hot_limit(frame, ["k"], HotGroups(min_rows=1, max_groups=2)) is None
     assert hot_limit(frame, ["k"], HotGroups(min_rows=1, max_groups=5)) == 200
     assert hot_limit(frame.where("false"), ["k"], HotGroups(min_rows=0)) is None
+
+
+def test_spread_join_gives_the_plain_join(spark):
+    rows = spark.range(2_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN 'warm' ELSE 'k' || id % 50 END AS k")
+    one = rows.select("k").distinct().where("k <> 'k7'").selectExpr("k", "'row of ' || k AS text")
+    hot = HotGroups(min_rows=100, slots=1 << 12)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        spread = spread_join(rows, one, ["k"], "id", how, hot)
+        assert sorted(map(tuple, spread.select(*rows.join(one, ["k"], how).columns).collect()), key=str) == sorted(
+            map(tuple, rows.join(one, ["k"], how).collect()), key=str)
+    assert spread_join(rows, one, ["k"], "id", "inner").count() == rows.join(one, "k").count()
+
+
+def test_spread_join_splits_the_hot_key(spark):
+    rows = spark.range(3_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'k' || id END AS k")
+    one = rows.select("k").distinct()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spread_join(rows, one, ["k"], "id", "inner", HotGroups(min_rows=50))
+        parts = joined.where("k = 'hot'").selectExpr("spark_partition_id() AS p").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 4
