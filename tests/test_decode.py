@@ -30,7 +30,8 @@ def test_good_message(decoded):
 
 
 @pytest.mark.parametrize("payload", [
-    "{bad", "", None, "null", "5", "[]", "{'value': 1.0}", '{"value": NaN}', '{"value": "NaN"}', {**GOOD, "value": "x"}, {**GOOD, "value": "1.5"},
+    "{bad", "", None, "null", "5", "[]", "{'value': 1.0}", '{"value": NaN}',
+    '{"value": "NaN"}', {**GOOD, "value": "x"}, {**GOOD, "value": "1.5"},
     {**GOOD, "recordedAt": "yesterday"}, {**GOOD, "recordedAt": "2026-09-25T00:15:30"},
 ])
 def test_unreadable_message(decoded, payload):

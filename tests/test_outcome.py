@@ -55,7 +55,8 @@ def test_missing_time_counts_as_first_arrival(deliveries, devices):
 
 
 def test_invalid_rows_leave_the_key_free(deliveries, devices):
-    frame = deliveries(("a", "00:10", "00:11", None), ("a", "00:10", "00:12", 1.0), (" ", "00:10", "00:12", 1.0))
+    frame = deliveries(("a", "00:10", "00:11", None), ("a", "00:10", "00:12", 1.0),
+                       (" ", "00:10", "00:12", 1.0))
     assert labels(frame, devices("d1")) == ["INVALID", "ACCEPTED", "INVALID"]
 
 
