@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.fm_index import FMIndex
+from fieldpulse.llm.tables import ship
 from fieldpulse.llm.words import Slice, Words, slices, words
 
 SEPARATOR = 1
@@ -196,6 +197,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, windows: Windows =
     A null text has no words. Items without item_id or text take no part; an item that is repeated counts once. An
     empty benchmark or table gives no spans. Other columns of both tables are not used.
     """
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     keep_all = [*dict.fromkeys([*keep, "text"])]
     rows = None

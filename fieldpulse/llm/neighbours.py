@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.tables import stored, whole_groups
+from fieldpulse.llm.tables import ship, stored, whole_groups
 
 
 @dataclass(frozen=True)
@@ -104,6 +104,7 @@ def nearest(vectors: DataFrame, is_query: Column, tiles: Tiles = Tiles()) -> Dat
     meets those of its own length only. Of candidates with the same vector only the k + 1 smallest ids can be
     among the k nearest, so no more of them are compared. Rows that repeat a vec_id count each. Other columns are not used.
     """
+    ship(vectors.sparkSession)
     rows = stored(usable(vectors).withColumn("dims", F.size("embedding")), "vectors")
     first = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     candidates = rows.withColumn("_copy", first).where(F.col("_copy") <= tiles.k + 1).drop("_copy")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.components import connected_components
-from fieldpulse.llm.tables import stored, whole_groups
+from fieldpulse.llm.tables import ship, stored, whole_groups
 from fieldpulse.llm.words import mix, shingles, slices, words
 
 PAIRS_AT_ONCE = 1 << 15
@@ -287,7 +287,7 @@ def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     A text without words has no shingles and so no links. Rows without doc_id stay, with null classes and no links;
     rows that repeat a doc_id count as copies of each other if their texts agree. Other columns are not used.
     """
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     features = stored(signatures(docs, forest), "features")
     classes = features.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("copies"))
     member = stored(features.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.learning import chance, label_sample
-from fieldpulse.llm.tables import stored
+from fieldpulse.llm.tables import ship, stored
 from fieldpulse.llm.words import TOKEN, Slice, slices, words
 
 MARKS = np.zeros(256, bool)
@@ -114,20 +114,20 @@ def _sigmoid(value: np.ndarray) -> np.ndarray:
 
 
 def _descend(good: np.ndarray, other: np.ndarray, prior: float | None, learner: Learner) -> np.ndarray:
-    """Logistic weights: good against other without a prior, else the non-negative positive-unlabelled risk."""
+    """Weights of good against other by the logistic loss without a prior, else by the non-negative positive-unlabelled risk.
+
+    That risk takes the sigmoid loss: an unbounded loss would let the confident positives outweigh a small error of the prior.
+    """
     weights = np.zeros(good.shape[1])
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, learner.steps + 1):
         p, u = _sigmoid(good @ weights), _sigmoid(other @ weights)
-        as_good = (p - 1) @ good / len(good)
-        u_as_bad, p_as_bad = u @ other / len(other), p @ good / len(good)
         if prior is None:
-            slope = as_good + u_as_bad
+            slope = (p - 1) @ good / len(good) + u @ other / len(other)
         else:
-            excess = (np.logaddexp(0, np.clip(other @ weights, -30, 30)).mean()
-                      - prior * np.logaddexp(0, np.clip(good @ weights, -30, 30)).mean())
+            p_slope, u_slope = (p * (1 - p)) @ good / len(good), (u * (1 - u)) @ other / len(other)
             # A negative estimate of the risk of bad documents is a sign of overfitting: step back from it.
-            slope = prior * as_good + u_as_bad - prior * p_as_bad if excess >= 0 else prior * p_as_bad - u_as_bad
+            slope = u_slope - 2 * prior * p_slope if u.mean() >= prior * p.mean() else prior * p_slope - u_slope
         slope = slope + learner.decay * weights
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope ** 2
@@ -150,6 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
 
     Without positives or documents, every document scores as good.
     """
+    ship(docs.sparkSession)
     trusted = labels.where(F.col(label) == 1)
     good = _measured(label_sample(docs, trusted, label, usable, learner.most, "trusted"))
     total = docs.count()
@@ -172,6 +173,7 @@ def score(docs: DataFrame, fitted: Fitted, keep: tuple[str, ...] = ("doc_id",),
     The score depends on the text alone; a null text counts as empty and is scored like any other. Repeated rows stay. Other columns are
     not used.
     """
+    ship(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(fitted)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     columns = [*dict.fromkeys([*keep, "text"])]

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from fieldpulse.llm.tables import ship
 from fieldpulse.llm.words import LOWER, Slice, slices
 
 
@@ -181,6 +182,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Per rule the matches are leftmost and do not overlap; those of different rules may. A null text is empty and has no spans.
     Repeated rows stay. Other columns are not used.
     """
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(rule, re.compile(rule.pattern), trigram_query(rule.pattern)) for rule in rules]
         wanted = sorted(set().union(*(_trigrams(query) for _, _, query in compiled)))

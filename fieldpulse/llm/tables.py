@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldpulse.session import scratch_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets the Python workers import this package: Spark hands it to every executor, once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_fieldpulse_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="fieldpulse-")) / "fieldpulse.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._fieldpulse_shipped = True
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Writes a frame below the shared checkpoint folder and reads it again."""
     path = scratch_dir(frame.sparkSession, purpose)

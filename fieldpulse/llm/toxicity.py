@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.learning import label_sample
+from fieldpulse.llm.tables import ship
 from fieldpulse.llm.words import Slice, slices, words
 
 
@@ -73,6 +74,7 @@ def _counts(sample: DataFrame, machine: Machine) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", machine: Machine = Machine()) -> Fitted:
     """Fits the machine on labels (1: toxic) of rows where ``usable`` holds. Without labels of both kinds, the machine is constant."""
+    ship(docs.sparkSession)
     sample = label_sample(docs, labels, label, usable, machine.most_labels, "toxicity")
     toxic, total = (int(x or 0) for x in sample.agg(F.sum("label"), F.count(F.lit(1))).first())
     prior = np.log((toxic + 0.5) / (total - toxic + 0.5))
@@ -147,6 +149,7 @@ def score(docs: DataFrame, fitted: Fitted, machine: Machine = Machine()) -> Data
     The machine reads nothing but the text; a null or empty text, or one without known terms, gets the base rate. Repeated rows stay. Other
     columns are not used.
     """
+    ship(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
