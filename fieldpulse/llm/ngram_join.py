@@ -130,7 +130,8 @@ def _nodes(reps: DataFrame, depth: int, forest: Forest) -> DataFrame:
     members = reps.select("doc", "n_shingles", "signature", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"))
     members = members.select(_prefix(F.col("tree"), depth, forest).alias("node"), "tree", "doc", "n_shingles")
     shared = members.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.max("n_shingles").alias("longest"))
-    return members.join(shared.where("members > 1"), "node")
+    # Written first: a join right on an aggregate would keep a large node in one task.
+    return members.join(stored(shared.where("members > 1"), "nodes"), "node")
 
 
 def _dealt(nodes: DataFrame, forest: Forest) -> DataFrame:
@@ -290,6 +291,7 @@ def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     ship(docs.sparkSession)
     features = stored(signatures(docs, forest), "features")
     classes = features.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("copies"))
+    classes = stored(classes, "classes")
     member = stored(features.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"])
                     .select("doc_id", "copy_id", "copies"), "members")
     own = member.where("doc_id = copy_id").dropDuplicates(["doc_id"])
