@@ -312,7 +312,7 @@ def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
             break
     counted = links.groupBy("doc").agg(F.sum("links").alias("links"))
     groups = connected_components(links.select(F.col("doc").alias("u"), F.col("root").alias("v")))
-    class_of = counted.join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumnRenamed("doc", "copy_id")
+    class_of = stored(counted.join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumnRenamed("doc", "copy_id"), "groups")
     joined = member.join(class_of, "copy_id", "left").select(
         "doc_id", "copy_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "copy_id").alias("class_id"))
