@@ -226,12 +226,15 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, windows: Windows = W
 
     Documents without a hit are passed on unchanged, empty and null texts too. ``n_chars`` is set anew where the text changed.
     """
-    found = find_contamination(docs, benchmark, windows, tuple(docs.columns))
+    # The other columns travel in one, so that none can clash with those of the search.
+    packed = docs.select(F.struct(*[name for name in docs.columns if name != "text"]).alias("_row"), "text")
+    found = find_contamination(packed, benchmark, windows, ("_row",))
     pieces = F.expr("""transform(sequence(0, size(spans)), i -> substring(text, if(i = 0, 1, int(spans[i - 1].last) + 1),
         if(i = size(spans), length(text), int(spans[i].first)) - if(i = 0, 0, int(spans[i - 1].last))))""")
     hit = F.size("spans") > 0
     cut = found.withColumn("text", F.when(hit, F.array_join(pieces, "")).otherwise(F.col("text")))
     cut = cut.where(~hit | F.regexp_like(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cut.select(docs.columns)
+    columns = {name: F.col("text") if name == "text" else F.col("_row").getField(name) for name in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return cut.select(*[column.alias(name) for name, column in columns.items()])
