@@ -1,6 +1,7 @@
 """First delivery wins, by one global client-supplied key, for all time.
 
-``delivery_seq`` numbers the deliveries uniquely and breaks ties between equal arrival times.
+``delivery_seq`` breaks ties between equal arrival times. Captures are at-least-once and transports number on their
+own, so it may repeat: the content of a row then decides, and of identical rows one wins.
 """
 
 from __future__ import annotations
@@ -15,8 +16,16 @@ from fieldpulse.operators.skew import HotGroups, spread_join
 KEY = "idempotency_key"
 ARRIVAL = ("ingested_at", "delivery_seq")
 
-# Keys of one micro-batch that may be broadcast: about 100 bytes each, so at most some 100 MB.
-MAX_BROADCAST_KEYS = 1_000_000
+# Text of the distinct keys of one batch that may be broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
+
+# Columns that operators add to a delivery; they are not part of what was delivered.
+_ADDED = {"violations", "device_known", "storable", "decode_error"}
+
+
+def _content(rows: DataFrame) -> Column:
+    """A number that tells apart rows with the same arrival and delivery number."""
+    return F.xxhash64(*[name for name in sorted(rows.columns) if name not in _ADDED])
 
 
 def dedup_first_wins(deliveries: DataFrame, key: str = KEY,
@@ -26,7 +35,7 @@ def dedup_first_wins(deliveries: DataFrame, key: str = KEY,
     ``min_by`` combines before the shuffle: a task sends one row per key, however many copies it read.
     """
     rest = [name for name in deliveries.columns if name != key]
-    first = F.min_by(F.struct(*rest), F.struct(*order))
+    first = F.min_by(F.struct(*rest), F.struct(*order, _content(deliveries).alias("_content")))
     return (deliveries.groupBy(key).agg(first.alias("_first"))
             .select(key, "_first.*").select(*deliveries.columns))
 
@@ -36,28 +45,40 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
                name: str = "is_first") -> DataFrame:
     """All deliveries, with a flag on the first eligible one of each key.
 
-    Keys in ``seen`` have no first delivery here. The join is on key *and* arrival, which only the winner
-    matches, so the copies of a hot key spread over all partitions.
+    Keys in ``seen`` have no first delivery here. Identical rows are counted together first, with map-side
+    combine, and of those that win one is flagged. The join is on key, arrival *and* content, which only the
+    winner matches, so the copies of a hot key spread over all partitions.
     """
-    candidates = deliveries if eligible is None else deliveries.where(eligible)
+    rows = deliveries.withColumn("_content", _content(deliveries))
+    candidates = rows if eligible is None else rows.where(eligible)
+    order = [*order, "_content"]
     winners = candidates.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     if seen is not None:
         winners = winners.join(seen.select(key), key, "left_anti")
     winners = winners.select(key, "_first.*", F.lit(True).alias("_wins"))
-    return (deliveries.join(winners, [key, *order], "left")
-            .withColumn(name, F.coalesce("_wins", F.lit(False)))
-            .drop("_wins"))
+    rest = [column for column in deliveries.columns if column not in (key, *order)]
+    # Grouped by what the join is on, so the join needs no further shuffle of the rows.
+    counted = rows.groupBy(key, *order).agg(F.first(F.struct(F.lit(0), *rest)).alias("_row"), F.count(F.lit(1)).alias("_copies"))
+    joined = counted.join(winners, [key, *order], "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    return joined.select(key, *order, *[F.col(f"_row.{column}") for column in rest], "_wins", "_copy").select(
+        *deliveries.columns, F.coalesce(F.col("_wins") & (F.col("_copy") == 1), F.lit(False)).alias(name))
+
+
+def few_bytes(rows: DataFrame, most: int) -> bool:
+    """Whether the text of all columns takes at most ``most`` bytes, and 8 per row; one aggregate, one number per task."""
+    sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)).cast("long") for name in rows.columns]
+    return (rows.agg(F.sum(sum(sizes, F.lit(8).cast("long")))).first()[0] or 0) <= most
 
 
 def seen_keys(batch: DataFrame, stored: DataFrame, key: str = KEY,
-              max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+              max_broadcast: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Keys of the batch that the store already holds.
 
-    The store is read on its key column only. While the batch has few keys they are broadcast, so the
-    store is not shuffled; beyond that the join shuffles both sides.
+    The store is read on its key column only. While the keys of the batch take at most ``max_broadcast`` bytes they
+    are broadcast, so the store is not shuffled; beyond that the join shuffles both sides.
     """
     keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
-    if keys.limit(max_broadcast + 1).count() <= max_broadcast:
+    if few_bytes(keys, max_broadcast):
         keys = F.broadcast(keys)
     return stored.select(key).join(keys, key, "left_semi")
 
@@ -71,12 +92,20 @@ def dedup_against_store(batch: DataFrame, stored: DataFrame, key: str = KEY,
 
 def resolve_duplicates(deliveries: DataFrame, stored: DataFrame, key: str = KEY,
                        order: Sequence[str] = ARRIVAL, hot: HotGroups = HotGroups()) -> DataFrame:
-    """Each delivery that is not the stored row of its key, answered with that stored row."""
+    """Each delivery that is not the stored row of its key, answered with that stored row.
+
+    Of deliveries identical to the stored row, one is that row and the others are answered.
+    """
     answer = stored.select(key, *[F.col(c).alias(f"stored_{c}") for c in stored.columns if c != key])
+    shared = [name for name in stored.columns if name in deliveries.columns and name != key]
     same = F.lit(True)
-    for name in order:
-        same = same & (F.col(name) == F.col(f"stored_{name}"))
-    return spread_join(deliveries.select(key, *order), answer, [key], order[-1], "inner", hot).where(~same)
+    for name in shared:
+        same = same & F.col(name).eqNullSafe(F.col(f"stored_{name}"))
+    rows = spread_join(deliveries.select(key, *shared), answer, [key], order[-1], "inner", hot).withColumn("_same", same)
+    out = [key, *order, *[name for name in answer.columns if name != key]]
+    copies = rows.where("_same").groupBy(*out).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = copies.withColumn("_copy", F.explode(F.sequence(F.lit(2), "_n"))).select(*out)
+    return rows.where(~F.col("_same")).select(*out).unionByName(again)
 
 
 def duplicate_count(deliveries: DataFrame, key: str = KEY) -> DataFrame:

@@ -39,13 +39,13 @@ def check_deliveries(deliveries: DataFrame, devices: DataFrame) -> DataFrame:
     checked = flag_known_devices(validate_readings(recorded_at_default(deliveries)), devices)
     return checked.withColumn(
         "storable",
-        ~F.col("decode_error") & (F.size("violations") == 0) & F.col("device_known"))
+        ~F.col("decode_error") & (F.size("violations") == 0) & F.col("ingested_at").isNotNull() & F.col("device_known"))
 
 
 def rejection() -> Column:
     """Why a checked delivery is not storable; null if it is."""
     return (F.when(F.col("decode_error"), DECODE_ERROR)
-            .when(F.size("violations") > 0, INVALID)
+            .when((F.size("violations") > 0) | F.col("ingested_at").isNull(), INVALID)
             .when(~F.col("device_known"), DEVICE_NOT_FOUND))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import bin_start, floor_to, utc_literal
+from fieldpulse.operators.dedup import few_bytes
 from fieldpulse.operators.quantile import group_stats
 from fieldpulse.operators.skew import HotGroups, spread_join
 
@@ -24,8 +25,8 @@ LATE_DROPPED = "LATE_DROPPED"
 
 WINDOW_KEYS = ("device_id", "metric_type", "window_start")
 
-# Windows that may be broadcast: about 100 bytes each, so at most some 100 MB.
-MAX_BROADCAST_WINDOWS = 1_000_000
+# Text of the windows that may be broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -116,7 +117,7 @@ def window_metrics(readings: DataFrame, policy: WindowPolicy = DEFAULT_POLICY,
 def _within(rows: DataFrame, only: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
     """Rows of the given windows; few windows are broadcast, so that the rows are not shuffled for it."""
     only = only.select(*keys).distinct()
-    if only.limit(MAX_BROADCAST_WINDOWS + 1).count() <= MAX_BROADCAST_WINDOWS:
+    if few_bytes(only, MAX_BROADCAST_BYTES):
         return rows.join(F.broadcast(only), list(keys), "left_semi")
     return spread_join(rows, only, keys, "idempotency_key", "left_semi", hot)
 

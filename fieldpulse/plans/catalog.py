@@ -27,8 +27,8 @@ AS_OF = datetime(2024, 1, 15, 12, 30, 30)
 BATCH_TS = datetime(2024, 2, 2)
 READING = ("device_id", "metric_type", "value", "recorded_at", "ingested_at", "idempotency_key",
            "delivery_seq")
-# Arrival times that cut the deliveries into micro-batches.
-SLICES = (datetime(2024, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2025, 1, 1))
+# Arrival times that cut the deliveries into micro-batches; the first and the last are open, and rows without one come first.
+SLICES = (None, datetime(2024, 1, 11), datetime(2024, 1, 21), None)
 
 
 def queries() -> dict[str, Query]:
@@ -64,7 +64,9 @@ def _deliver(rows: DataFrame, write: Callable[[DataFrame], None],
     """Delivers rows in arrival order: each slice is written and then run to its end as one micro-batch."""
     for first, end in zip(SLICES, SLICES[1:]):
         arrived = F.col("ingested_at")
-        write(rows.where((arrived >= utc_literal(first)) & (arrived < utc_literal(end))))
+        since = arrived >= utc_literal(first) if first else F.lit(True)
+        until = arrived < utc_literal(end) if end else F.lit(True)
+        write(rows.where(since & until | arrived.isNull() if first is None else since & until))
         for query in start():
             query.awaitTermination()
 
@@ -166,7 +168,9 @@ def recorded_at_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.messages_from_kafka(td.kafka_records(spark, sf_dir)).drop("payload")
+    """Kafka records as messages, stamped with the broker's time."""
+    arrived = files.messages_from_kafka(td.kafka_records(spark, sf_dir)).drop("payload")
+    return files.ingest_stamp(arrived.withColumnRenamed("ingested_at", "broker_time"), "broker_time").drop("broker_time")
 
 
 @_query
@@ -430,21 +434,16 @@ def audit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patched.select("id", "created_at", "updated_at")
 
 
-def _error_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings of one metric, which not every device has."""
-    return td.readings(spark, sf_dir).where(F.col("metric_type") == "error")
-
-
 @_query
 def delete_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.device_view(registry.delete_devices(
-        td.device_deletes(spark, sf_dir), td.devices(spark, sf_dir), _error_readings(spark, sf_dir)))
+        td.device_deletes(spark, sf_dir), td.devices(spark, sf_dir), td.readings(spark, sf_dir)))
 
 
 @_query
 def delete_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.delete_outcome(
-        td.device_deletes(spark, sf_dir), td.devices(spark, sf_dir), _error_readings(spark, sf_dir)
+        td.device_deletes(spark, sf_dir), td.devices(spark, sf_dir), td.readings(spark, sf_dir)
     ).select("id", "seq", "outcome")
 
 

@@ -134,7 +134,7 @@ FROM customer JOIN (SELECT 0 AS nth UNION ALL SELECT 1) AS n ON nth = 0 OR c_cus
 
 DELETIONS = """
 SELECT id, seq, CASE WHEN id NOT IN (SELECT id FROM devices) THEN 'DEVICE_NOT_FOUND'
-                     WHEN id IN (SELECT device_id FROM readings WHERE metric_type = 'error')
+                     WHEN id IN (SELECT device_id FROM readings)
                        THEN 'DEVICE_HAS_READINGS'
                      WHEN row_number() OVER (PARTITION BY id ORDER BY seq) = 1 THEN 'DELETED'
                      ELSE 'DEVICE_NOT_FOUND' END AS outcome

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldpulse.functions.times import utc_ntz
-from fieldpulse.operators.decode import topic_match
+from fieldpulse.operators.decode import TOPIC_PATTERN, topic_match
 from fieldpulse.schemas import DEVICE_PATCH, DEVICE_REQUEST, MESSAGE, READING_REQUEST
 
 # Times in files carry microseconds; the default of the JSON writer cuts them to milliseconds.
+CORRUPT_LINE = "_corrupt_line"
 JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
@@ -21,7 +22,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, stream
           max_files: int | None) -> DataFrame:
     reader = (spark.readStream if streaming else spark.read).format(fmt).schema(schema)
     if fmt == "json":
-        reader = reader.options(**JSON_TIMES)
+        reader = reader.options(columnNameOfCorruptRecord=CORRUPT_LINE, **JSON_TIMES)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -29,8 +30,18 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, stream
 
 def reading_messages(spark: SparkSession, path: str, fmt: str = "json", streaming: bool = False,
                      max_files: int | None = None) -> DataFrame:
-    """Captured messages of the subscription. ``max_files`` bounds the intake of one micro-batch."""
-    return topic_match(_read(spark, path, MESSAGE, fmt, streaming, max_files))
+    """Captured messages of the subscription. ``max_files`` bounds the intake of one micro-batch.
+
+    A capture line that is not a whole message, as a cut one, stays as a message without topic whose payload is
+    the line, so it is counted among the unreadable ones.
+    """
+    if fmt != "json":
+        return topic_match(_read(spark, path, MESSAGE, fmt, streaming, max_files))
+    lines = _read(spark, path, T.StructType([*MESSAGE.fields, T.StructField(CORRUPT_LINE, T.StringType())]), fmt, streaming, max_files)
+    cut = F.col(CORRUPT_LINE).isNotNull()
+    return lines.where(cut | F.col("topic").rlike(TOPIC_PATTERN)).select(
+        F.when(~cut, F.col("topic")).alias("topic"), F.coalesce(CORRUPT_LINE, "payload").alias("payload"),
+        *[F.when(~cut, F.col(name)).alias(name) for name in MESSAGE.names[2:]])
 
 
 def reading_requests(spark: SparkSession, path: str, fmt: str = "json", streaming: bool = False,

@@ -77,14 +77,15 @@ class Store:
         last = rows.agg(F.max("batch_id")).first()[0]
         merged = rows.withColumn("batch_id", F.when(F.col("batch_id") == last, F.col("batch_id"))
                                  .otherwise(F.lit(COMPACTED)))
-        self._write_readings(merged, version + 1)
+        # A dead attempt may have left files of this version; they are replaced as a whole.
+        self._write_readings(merged, version + 1, "static")
         self._log("readings_log", version + 1)
 
-    def _write_readings(self, rows: DataFrame, version: int) -> None:
+    def _write_readings(self, rows: DataFrame, version: int, replaced: str = "dynamic") -> None:
         # A day with most of the rows is split over tasks; time order lets later reads skip row groups.
         order = ("event_date", "batch_id", "recorded_at")
         evened = rows.hint("rebalance", "event_date").sortWithinPartitions(*order)
-        _overwrite(evened, self._readings_path(version), "event_date", "batch_id")
+        _overwrite(evened, self._readings_path(version), "event_date", "batch_id", replaced=replaced)
 
     def staged(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Rows of one batch, written to the store's own scratch table and read back."""
@@ -166,7 +167,7 @@ class Store:
             self._path(log))
 
 
-def _overwrite(rows: DataFrame, path: str, *partitions: str) -> None:
-    """Replaces just the partitions that ``rows`` fills."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite(rows: DataFrame, path: str, *partitions: str, replaced: str = "dynamic") -> None:
+    """Replaces just the partitions that ``rows`` fills, or with ``replaced`` "static" the whole table."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", replaced)
      .partitionBy(*partitions).parquet(path))

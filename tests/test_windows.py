@@ -97,6 +97,6 @@ def test_only_the_given_windows(deliveries, monkeypatch):
     frame = deliveries(("a", "00:10", "00:20", 4.0), ("b", "01:10", "01:20", 8.0), ("c", "01:20", "01:21", 6.0))
     only = windows.window_key(frame).where("idempotency_key = 'c'").select(*windows.WINDOW_KEYS)
     for bound in (1_000, 0):
-        monkeypatch.setattr(windows, "MAX_BROADCAST_WINDOWS", bound)
+        monkeypatch.setattr(windows, "MAX_BROADCAST_BYTES", bound)
         rows = windows.window_metrics(frame, only=only, hot=HotGroups(min_rows=1)).collect()
         assert [(row["average"], row["p95"], row["count"]) for row in rows] == [(7.0, 8.0, 2)]
