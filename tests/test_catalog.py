@@ -4,9 +4,10 @@ from conftest import SF
 
 import __spark_entry__ as entry
 from check_queries import TABLES, comparable
+from fieldpulse.plans import catalog, oracles
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
