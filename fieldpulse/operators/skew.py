@@ -18,11 +18,19 @@ class HotGroups:
     A group is hot above ``min_rows`` rows and above 1/``max_groups`` of all rows. The second condition
     bounds the number of hot groups by ``max_groups``, so their keys can be broadcast at any scale.
     ``slots`` bounds the counters of the first look at the data. At 10**12 rows a group of 5 million is hot.
+
+    That look takes a sample in which a group of ``min_rows`` has ``sampled`` rows, and all rows if that is not
+    fewer. It only picks the plan: a group near the limit may go either way, and both ways are exact.
     """
 
     min_rows: int = 1_000_000
     max_groups: int = 200_000
     slots: int = 1 << 21
+    sampled: int = 10_000
+
+    @property
+    def share(self) -> float:
+        return min(1.0, self.sampled / max(1, self.min_rows))
 
 
 def _slot(keys: Sequence[str], hot: HotGroups) -> Column:
@@ -30,8 +38,10 @@ def _slot(keys: Sequence[str], hot: HotGroups) -> Column:
 
 
 def _slot_counts(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
-    """Rows per hash slot of the keys: at most ``hot.slots`` rows per task are shuffled."""
-    return rows.groupBy(_slot(keys, hot).alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    """Estimated rows per hash slot of the keys. A task shuffles no more rows than it has in the sample, nor
+    more than ``hot.slots``."""
+    looked = rows.select(*keys) if hot.share == 1 else rows.select(*keys).sample(hot.share, seed=1)
+    return looked.groupBy(_slot(keys, hot).alias("_slot")).agg((F.count(F.lit(1)) / hot.share).cast("long").alias("_n"))
 
 
 def hot_limit(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> int | None:

@@ -502,6 +502,10 @@ def _looking_up(*args) -> list[StreamingQuery]:
     return [start_ingest(*args)]
 
 
+def _with_state(*args) -> list[StreamingQuery]:
+    return [start_stateful_ingest(*args)]
+
+
 @_query
 def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, _looking_up).readings().select(*READING)
@@ -517,11 +521,24 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, _looking_up).outcomes().groupBy("outcome").agg(F.sum("rows").alias("rows"))
 
 
+@_query
+def store_current_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored metrics of the minute that holds the latest accepted reading."""
+    store = _ingested(spark, sf_dir, _looking_up)
+    latest = store.metrics().agg(F.max("window_start")).first()[0]
+    return _rounded(store.current_window(latest + timedelta(seconds=30)))
+
+
 @_query
 def stateful_stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir, start_stateful_ingest).readings().select(*READING)
+    return _ingested(spark, sf_dir, _with_state).readings().select(*READING)
 
 
 @_query
 def stateful_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_ingested(spark, sf_dir, start_stateful_ingest).metrics())
+    return _rounded(_ingested(spark, sf_dir, _with_state).metrics())
+
+
+@_query
+def stateful_stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, _with_state).outcomes().groupBy("outcome").agg(F.sum("rows").alias("rows"))

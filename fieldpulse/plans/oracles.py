@@ -235,6 +235,8 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, date_trunc('minute', recorded_at) AS window_start FROM outcomes
                   WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE'))
             GROUP BY device_id, metric_type, window_start""")
+    stream_outcomes = _outcomes(
+        STAGED_MESSAGES, "SELECT outcome, count(*) AS rows FROM outcomes GROUP BY outcome")
     return {
         "reading_messages": _with(
             r"SELECT topic, ingested_at, delivery_seq FROM stray"
@@ -416,8 +418,15 @@ def oracle_sql() -> dict[str, str]:
 
         "stream_readings": stream_readings,
         "stream_metrics": stream_metrics,
+        "store_current_window": _outcomes(
+            STAGED_MESSAGES,
+            f"""SELECT {STATS}
+                FROM (SELECT *, date_trunc('minute', recorded_at) AS window_start FROM outcomes
+                      WHERE outcome IN ('ACCEPTED', 'ACCEPTED_LATE'))
+                GROUP BY device_id, metric_type, window_start
+                QUALIFY window_start = max(window_start) OVER ()"""),
         "stateful_stream_readings": stream_readings,
         "stateful_stream_metrics": stream_metrics,
-        "stream_outcomes": _outcomes(
-            STAGED_MESSAGES, "SELECT outcome, count(*) AS rows FROM outcomes GROUP BY outcome"),
+        "stream_outcomes": stream_outcomes,
+        "stateful_stream_outcomes": stream_outcomes,
     }

@@ -5,7 +5,8 @@ batch, so newly registered devices count, and dedup looks at the stored keys: it
 whole store per micro-batch, which suits large micro-batches.
 
 ``start_stateful_ingest`` remembers the keys in the stream's state instead, so a micro-batch costs work for
-its own rows only, however large the store. Its device table is the one current at the start.
+its own rows only, however large the store. Its device table is the one current at the start; a batch that a dead run
+left open is first run again with the table of that run.
 
 Either way the first delivery of a key wins for all time, and only the windows that a batch touched are
 computed again, from the stored readings, as p95 values cannot be merged.
@@ -19,16 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.functions.times import utc_literal
-from fieldpulse.operators.dedup import seen_keys
+from fieldpulse.operators.dedup import KEY, seen_keys
 from fieldpulse.operators.outcome import (
-    check_deliveries, label_outcomes, outcome_counts, rejected_rows, rejection, stored_rows,
+    check_deliveries, label_outcomes, outcome_counts, rejected_rows, stored_rows,
 )
 from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
 )
-from fieldpulse.schemas import READING
-from fieldpulse.streaming.stateful import dedup_stream
+from fieldpulse.streaming.progress import last_commit
+from fieldpulse.streaming.stateful import new_keys
 from fieldpulse.streaming.store import Store
 
 
@@ -42,23 +43,25 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
     # The batch's own rows, written before a failure, are not earlier deliveries.
     earlier = store.readings().where(F.col("batch_id") != batch_id)
 
-    # Decoded rows and labels serve several writes; blocks of a lost executor are computed again. The
-    # readings come last, as writing to a table drops cached rows that were derived from it.
     checked = check_deliveries(deliveries, devices).persist(StorageLevel.MEMORY_AND_DISK)
-    labelled = label_outcomes(checked, seen_keys(checked.where("storable"), earlier), policy).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    try:
+        seen = seen_keys(checked.where("storable"), earlier)
+        _write_labelled(label_outcomes(checked, seen, policy), batch_id, store, policy, hot)
+    finally:
+        checked.unpersist()
+
+
+def _write_labelled(labelled: DataFrame, batch_id: int, store: Store, policy: WindowPolicy,
+                    hot: HotGroups) -> None:
+    # Labels serve several writes; blocks of a lost executor are computed again. The readings come
+    # last, as writing to a table drops cached rows that were derived from it.
+    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store.write_rejects(rejected_rows(labelled), batch_id)
         store.write_outcomes(outcome_counts(labelled), batch_id)
         store.write_readings(stored_rows(labelled), batch_id)
     finally:
         labelled.unpersist()
-        checked.unpersist()
-
-    _write_touched(store, batch_id, policy, hot)
-
-
-def _write_touched(store: Store, batch_id: int, policy: WindowPolicy, hot: HotGroups) -> None:
     touched = touched_metrics(store, batch_id, policy, hot)
     if touched is not None:
         store.write_metrics(touched, batch_id)
@@ -95,25 +98,27 @@ def start_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
 
 def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
                           policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups(),
-                          **trigger) -> tuple[StreamingQuery, StreamingQuery]:
-    """Starts two streams over the same source: one stores readings, the other rejects.
+                          **trigger) -> StreamingQuery:
+    """Starts the stream with the seen keys in its state. Every delivery of a micro-batch and the keys that are new
+    in it reach one sink, which labels and stores them like ``start_ingest``.
 
-    Duplicates are the rows counted as ``storable`` in the first stream's progress events less the rows it
-    stored. Use a store that was filled this way from its first batch, as the state holds the keys.
+    Use a store that was filled this way from its first batch, as the state holds the keys. A reading of a
+    device that registers later is rejected under the table that its batch noted, and leaves its key free.
     """
-    trigger = trigger or {"availableNow": True}
-    checked = check_deliveries(deliveries, store.devices())
-    storable = checked.where("storable").select(*READING.names).observe(
-        "storable", F.count(F.lit(1)).alias("rows"))
-
-    def store_first(rows: DataFrame, batch_id: int) -> None:
+    spark = deliveries.sparkSession
+    version = store.version_after(last_commit(spark, checkpoint))
+    checked = check_deliveries(deliveries, store.devices(version))
+    fresh = new_keys(checked.where("storable"))
+    both = checked.withColumn("_new", F.lit(False)).unionByName(
+        fresh.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+
+    def store_batch(rows: DataFrame, batch_id: int) -> None:
+        store.devices_version(batch_id, version)
         # Staged, as AQE, which evens out the files, is off within a plan that has state.
-        store.write_readings(store.staged(rows, batch_id), batch_id)
-        _write_touched(store, batch_id, policy, hot)
-
-    readings = (dedup_stream(storable).writeStream.outputMode("update").foreachBatch(store_first)
-                .option("checkpointLocation", f"{checkpoint}/readings").trigger(**trigger).start())
-    rejects = (rejected_rows(checked.withColumn("outcome", rejection()))
-               .writeStream.foreachBatch(store.write_rejects)
-               .option("checkpointLocation", f"{checkpoint}/rejects").trigger(**trigger).start())
-    return readings, rejects
+        staged = store.staged(rows, batch_id)
+        batch = staged.where("not _new").drop("_new")
+        seen = batch.where("storable").select(KEY).distinct().join(staged.where("_new").select(KEY), KEY, "left_anti")
+        _write_labelled(label_outcomes(batch, seen, policy), batch_id, store, policy, hot)
+
+    return (both.writeStream.outputMode("append").foreachBatch(store_batch)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

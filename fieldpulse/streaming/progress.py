@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -26,3 +29,15 @@ def backlog(query: StreamingQuery) -> dict[str, dict]:
         source["description"]: {"end_offset": source["endOffset"], "outstanding": source["metrics"]}
         for source in last["sources"]
     }
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch that the stream with this checkpoint has finished; -1 if none."""
+    try:
+        commits = spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(f"{checkpoint}/commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    number = F.element_at(F.split("path", "/"), -1).cast("long")
+    return commits.select("path").agg(F.coalesce(F.max(number), F.lit(-1))).first()[0]

@@ -13,6 +13,11 @@ from fieldpulse.operators.windows import (
 )
 
 
+def new_keys(deliveries: DataFrame, key: str = KEY) -> DataFrame:
+    """Each key once, in the micro-batch that first holds it. The state is the keys alone and needs no clock."""
+    return deliveries.select(key).dropDuplicates([key])
+
+
 def dedup_stream(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """First delivery of each key, for all time; write it in update mode.
 

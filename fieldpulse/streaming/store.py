@@ -8,12 +8,14 @@ new numbered folder; a row appended to a log then makes that folder the current
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldpulse.operators.windows import WINDOW_KEYS
+from fieldpulse.functions.times import floor_to, utc_literal
+from fieldpulse.operators.windows import DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy
 from fieldpulse.schemas import DEVICE, READING, WINDOW_METRICS
 
 _BATCH = T.StructField("batch_id", T.LongType())
@@ -30,7 +32,7 @@ _REJECTED = T.StructType([
 ])
 _OUTCOMES = T.StructType([
     T.StructField("outcome", T.StringType()), T.StructField("rows", T.LongType()), _BATCH])
-_METRICS = T.StructType([*WINDOW_METRICS.fields, _BATCH])
+_METRICS = T.StructType([*WINDOW_METRICS.fields, T.StructField("window_date", T.DateType()), _BATCH])
 
 COMPACTED = -1  # batch_id of rows whose own batch no replay can name any more
 
@@ -47,7 +49,7 @@ class Store:
             (self._readings_path(0), _STORED, ("event_date", "batch_id")),
             (self._path("rejects"), _REJECTED, by_batch),
             (self._path("outcomes"), _OUTCOMES, by_batch),
-            (self._path("metrics"), _METRICS, by_batch),
+            (self._path("metrics"), _METRICS, ("window_date", "batch_id")),
             (self._path("batch_log"), _BATCH_LOG, by_batch),
             (self._path("readings_log"), _VERSION_LOG, ()),
             (self._path("devices_log"), _VERSION_LOG, ()),
@@ -88,8 +90,8 @@ class Store:
         _overwrite(evened, self._readings_path(version), "event_date", "batch_id", replaced=replaced)
 
     def staged(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Rows of one batch, written to the store's own scratch table and read back."""
-        path = f"{self._path('staging')}/batch_id={batch_id}"
+        """Rows of one batch, written to the store's own scratch table and read back; the next but one replaces them."""
+        path = f"{self._path('staging')}/{batch_id % 2}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -108,13 +110,25 @@ class Store:
         self._write_batch(counts, "outcomes", batch_id)
 
     def write_metrics(self, metrics: DataFrame, batch_id: int) -> None:
-        self._write_batch(metrics.select(*WINDOW_METRICS.names), "metrics", batch_id)
+        dated = metrics.select(*WINDOW_METRICS.names, F.to_date("window_start").alias("window_date"))
+        self._write_batch(dated, "metrics", batch_id, "window_date")
 
     def metrics(self) -> DataFrame:
         """The latest metrics of each window; a later batch that touched a window replaces its row."""
-        latest = F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest")
-        return self._table("metrics", _METRICS).groupBy(*WINDOW_KEYS).agg(latest).select(
-            *WINDOW_KEYS, "latest.*")
+        return _latest(self._table("metrics", _METRICS))
+
+    def current_window(self, as_of: datetime, device_id: str | None = None, metric_type: str | None = None,
+                       policy: WindowPolicy = DEFAULT_POLICY) -> DataFrame:
+        """Stored metrics of the window that holds ``as_of`` (UTC), of one device or metric if given.
+
+        A group without data has no row. Reads the folder of one day, and there the row groups of the asked rows.
+        """
+        start = floor_to(as_of, policy.bin)
+        rows = self._table("metrics", _METRICS).where(
+            (F.col("window_date") == F.lit(start.date())) & (F.col("window_start") == utc_literal(start)))
+        for name, wanted in (("device_id", device_id), ("metric_type", metric_type)):
+            rows = rows if wanted is None else rows.where(F.col(name) == wanted)
+        return _latest(rows)
 
     # -- devices ----------------------------------------------------------------------------------
 
@@ -132,12 +146,17 @@ class Store:
         self._log("devices_log", version)
         return version
 
-    def devices_version(self, batch_id: int) -> int:
-        """The version a batch uses: a replay gets the one of its first run."""
+    def version_after(self, committed: int) -> int:
+        """The version for batches past the last ``committed`` one: that of a batch left open, else the current one."""
+        noted = self._table("batch_log", _BATCH_LOG).where(F.col("batch_id") > committed).agg(F.min("devices_version")).first()[0]
+        return self._current("devices_log") if noted is None else noted
+
+    def devices_version(self, batch_id: int, version: int | None = None) -> int:
+        """The version a batch uses, by default the current one: a replay gets the one of its first run."""
         noted = self._table("batch_log", _BATCH_LOG).where(F.col("batch_id") == batch_id).first()
         if noted:
             return noted["devices_version"]
-        version = self._current("devices_log")
+        version = self._current("devices_log") if version is None else version
         row = self.spark.createDataFrame([(version,)], "devices_version long")
         self._write_batch(row, "batch_log", batch_id)
         return version
@@ -156,8 +175,9 @@ class Store:
     def _table(self, table: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self._path(table))
 
-    def _write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        _overwrite(rows.withColumn("batch_id", F.lit(batch_id).cast("long")), self._path(table), "batch_id")
+    def _write_batch(self, rows: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
+        numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        _overwrite(numbered, self._path(table), *partitions, "batch_id")
 
     def _current(self, log: str) -> int:
         return self._table(log, _VERSION_LOG).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
@@ -167,6 +187,11 @@ class Store:
             self._path(log))
 
 
+def _latest(metrics: DataFrame) -> DataFrame:
+    latest = F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest")
+    return metrics.groupBy(*WINDOW_KEYS).agg(latest).select(*WINDOW_KEYS, "latest.*")
+
+
 def _overwrite(rows: DataFrame, path: str, *partitions: str, replaced: str = "dynamic") -> None:
     """Replaces just the partitions that ``rows`` fills, or with ``replaced`` "static" the whole table."""
     (rows.write.mode("overwrite").option("partitionOverwriteMode", replaced)

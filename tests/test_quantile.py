@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from fieldpulse.operators import skew
 from fieldpulse.operators.quantile import group_stats
 from fieldpulse.operators.skew import HotGroups, hot_limit, spread_join
 
@@ -95,3 +96,12 @@ def test_spread_join_splits_the_hot_key(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert parts > 4
+
+
+def test_first_look_takes_a_sample(spark):
+    """A task shuffles a small share of its groups, and a hot group among them is still found."""
+    hot = HotGroups(min_rows=100_000, sampled=1_000)
+    groups = spark.range(200_000, numPartitions=2).selectExpr("if(id % 2 = 0, -1, id) AS k")
+    assert hot_limit(groups, ["k"], HotGroups(min_rows=50_000, sampled=1_000)) == 50_000
+    assert hot_limit(groups.where("k >= 0"), ["k"], HotGroups(min_rows=50_000, sampled=1_000)) is None
+    assert skew._slot_counts(groups.where("k >= 0"), ["k"], hot).count() < 1_500
