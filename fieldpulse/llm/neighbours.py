@@ -38,7 +38,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """int8 values (as float32, in which their products are exact), scales and norms of the rounding errors."""
-    scale = np.abs(vectors).max(axis=1) / 127
+    scale = np.maximum(np.abs(vectors).max(axis=1) / 127, np.finfo(np.float64).tiny)
     values = np.rint(vectors / scale[:, None])
     error = np.linalg.norm(vectors - values * scale[:, None], axis=1)
     return values.astype(np.int8).astype(np.float32), scale, error

@@ -64,3 +64,11 @@ def test_pipeline_stages_keep_columns(spark):
     assert docs.count() == len({hashlib.sha256((row.text or "").encode()).hexdigest() for row in docs.collect()})
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {"doc_id", "copies", "taken"} <= set(mixed.columns) and mixed.count()
+
+
+def test_tile_keeps_vectors_too_small_for_a_scale():
+    """The scale of a vector of subnormal numbers is not zero, so no candidate is lost to a division by it."""
+    vectors = np.array([[5e-324, 0.0], [1.0, 2.0], [0.0, 5e-324]])
+    heaps = neighbours._Heaps(np.arange(3), 2)
+    neighbours._tile(vectors, np.arange(3), vectors, np.arange(3), heaps)
+    assert [{-i for _, i in heap} for heap in heaps.heaps] == [{1, 2}, {0, 2}, {0, 1}]
