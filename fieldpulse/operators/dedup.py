@@ -23,7 +23,7 @@ MAX_BROADCAST_BYTES = 64 << 20
 _ADDED = {"violations", "device_known", "storable", "decode_error"}
 
 
-def _content(rows: DataFrame) -> Column:
+def content(rows: DataFrame) -> Column:
     """A number that tells apart rows with the same arrival and delivery number."""
     return F.xxhash64(*[name for name in sorted(rows.columns) if name not in _ADDED])
 
@@ -35,7 +35,7 @@ def dedup_first_wins(deliveries: DataFrame, key: str = KEY,
     ``min_by`` combines before the shuffle: a task sends one row per key, however many copies it read.
     """
     rest = [name for name in deliveries.columns if name != key]
-    first = F.min_by(F.struct(*rest), F.struct(*order, _content(deliveries).alias("_content")))
+    first = F.min_by(F.struct(*rest), F.struct(*order, content(deliveries).alias("_content")))
     return (deliveries.groupBy(key).agg(first.alias("_first"))
             .select(key, "_first.*").select(*deliveries.columns))
 
@@ -49,7 +49,7 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
     combine, and of those that win one is flagged. The join is on key, arrival *and* content, which only the
     winner matches, so the copies of a hot key spread over all partitions.
     """
-    rows = deliveries.withColumn("_content", _content(deliveries))
+    rows = deliveries.withColumn("_content", content(deliveries))
     candidates = rows if eligible is None else rows.where(eligible)
     order = [*order, "_content"]
     winners = candidates.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))

@@ -71,9 +71,9 @@ def _deliver(rows: DataFrame, write: Callable[[DataFrame], None],
             query.awaitTermination()
 
 
-def _run_updates(rows: DataFrame, transform: Callable[[DataFrame], DataFrame], spark: SparkSession,
-                 purpose: str) -> DataFrame:
-    """Streams rows through ``transform`` in update mode; returns the emitted rows with their batch."""
+def _run_stream(rows: DataFrame, begin: Callable[[DataFrame, Callable[[DataFrame, int], None], str], StreamingQuery],
+                spark: SparkSession, purpose: str) -> DataFrame:
+    """Streams rows through ``begin(source, sink, checkpoint)``; returns the emitted rows with their batch."""
     root = scratch_dir(spark, purpose)
 
     def sink(emitted: DataFrame, batch_id: int) -> None:
@@ -82,8 +82,7 @@ def _run_updates(rows: DataFrame, transform: Callable[[DataFrame], DataFrame], s
 
     def start() -> list[StreamingQuery]:
         source = files.reading_requests(spark, f"{root}/in", "parquet", streaming=True)
-        return [transform(source).writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()]
+        return [begin(source, sink, f"{root}/checkpoint")]
 
     _deliver(rows, lambda part: part.write.mode("append").parquet(f"{root}/in"), start)
     return spark.read.parquet(f"{root}/out")
@@ -276,7 +275,7 @@ def dedup_against_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_updates(
+    return _run_stream(
         td.deliveries(spark, sf_dir), stateful.dedup_stream, spark, "dedup-stream").select(*READING)
 
 
@@ -381,8 +380,11 @@ def late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emitted = _run_updates(
-        td.readings(spark, sf_dir), stateful.stream_window_metrics, spark, "window-stream")
+    def begin(source: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+        return (stateful.stream_window_metrics(source).writeStream.outputMode("update").foreachBatch(sink)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+    emitted = _run_stream(td.readings(spark, sf_dir), begin, spark, "window-stream")
     latest = emitted.groupBy(*windows.WINDOW_KEYS).agg(
         F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest"))
     return _rounded(latest.select(*windows.WINDOW_KEYS, "latest.*"))

@@ -29,7 +29,7 @@ from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
 )
 from fieldpulse.streaming.progress import last_commit
-from fieldpulse.streaming.stateful import new_keys
+from fieldpulse.streaming.stateful import with_new_keys
 from fieldpulse.streaming.store import Store
 
 
@@ -107,10 +107,7 @@ def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
     """
     spark = deliveries.sparkSession
     version = store.version_after(last_commit(spark, checkpoint))
-    checked = check_deliveries(deliveries, store.devices(version))
-    fresh = new_keys(checked.where("storable"))
-    both = checked.withColumn("_new", F.lit(False)).unionByName(
-        fresh.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    both = with_new_keys(check_deliveries(deliveries, store.devices(version)), F.col("storable"))
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
         store.devices_version(batch_id, version)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from fieldpulse.operators.dedup import ARRIVAL, KEY
+from fieldpulse.operators.dedup import ARRIVAL, KEY, content
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, late_counters, lateness_class,
 )
@@ -18,19 +19,29 @@ def new_keys(deliveries: DataFrame, key: str = KEY) -> DataFrame:
     return deliveries.select(key).dropDuplicates([key])
 
 
-def dedup_stream(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    """First delivery of each key, for all time; write it in update mode.
+def with_new_keys(deliveries: DataFrame, eligible: Column | None = None, key: str = KEY) -> DataFrame:
+    """All deliveries (``_new`` is false) and a row for each new key of the eligible ones (``_new`` is true, no other columns)."""
+    fresh = new_keys(deliveries if eligible is None else deliveries.where(eligible), key)
+    return deliveries.withColumn("_new", F.lit(False)).unionByName(
+        fresh.withColumn("_new", F.lit(True)), allowMissingColumns=True)
 
-    Batch time is the same for all rows of a micro-batch, so a key first seen at the current batch time is
-    new, and its row is sent on once. A micro-batch costs state lookups for its own keys only, but the
-    state grows with the number of keys.
+
+def dedup_stream(deliveries: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, key: str = KEY,
+                 order: Sequence[str] = ARRIVAL, **trigger) -> StreamingQuery:
+    """Starts a stream that hands the first delivery of each key, for all time, to ``write(rows, batch_id)``.
+
+    The state holds the keys and nothing else, and a micro-batch costs work for its own rows only. A batch that is run
+    again after a failure gives the same rows under the same id.
     """
-    rest = [name for name in deliveries.columns if name != key]
-    state = deliveries.withColumn("_batch", F.current_timestamp()).groupBy(key).agg(
-        F.min_by(F.struct(*rest), F.struct("_batch", *order)).alias("_first"),
-        F.min("_batch").alias("_seen"))
-    return (state.where(F.col("_seen") == F.current_timestamp())
-            .select(key, "_first.*").select(*deliveries.columns))
+    def first_rows(rows: DataFrame, batch_id: int) -> None:
+        rest = [name for name in deliveries.columns if name != key]
+        place = F.when(~F.col("_new"), F.struct(*order, content(deliveries)))
+        # One aggregate reads the batch once; the bare rows of new keys have no place in the order.
+        firsts = rows.groupBy(key).agg(F.min_by(F.struct(*rest), place).alias("_first"), F.max("_new").alias("_fresh"))
+        write(firsts.where("_fresh").select(key, "_first.*").select(*deliveries.columns), batch_id)
+
+    return (with_new_keys(deliveries, key=key).writeStream.outputMode("append").foreachBatch(first_rows)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def dedup_stream_within(deliveries: DataFrame, horizon: str, key: str = KEY) -> DataFrame:

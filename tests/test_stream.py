@@ -238,10 +238,28 @@ def files_in_order(tmp_path, *frames):
 def test_dedup_stream_is_first_wins_within_and_across_batches(spark, deliveries, tmp_path):
     full = deliveries(("a", "00:10", "00:13", 3.0), ("a", "00:10", "00:11", 1.0), ("b", "00:10", "00:12", 2.0),
                       ("a", "00:10", "00:20", 8.0), ("c", "00:10", "00:21", 4.0), ("c", "00:10", "00:21", 5.0))
-    files_in_order(tmp_path, full.where("delivery_seq < 3"), full.where("delivery_seq >= 3"))
+    again = full.where("delivery_seq = 4")  # an identical copy of the first c
+    files_in_order(tmp_path, full.where("delivery_seq < 3"), full.where("delivery_seq >= 3").unionByName(again))
     source = files.reading_requests(spark, str(tmp_path / "in"), "parquet", streaming=True, max_files=1)
-    got = run(stateful.dedup_stream(source), tmp_path, "update").select(*READING_REQUEST.names)
+    failures = [1]
+
+    def write(rows, batch_id):
+        rows.write.mode("overwrite").parquet(str(tmp_path / f"out/batch={batch_id}"))
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("after the write, before the commit")
+
+    def start():
+        return stateful.dedup_stream(source, write, str(tmp_path / "checkpoint"))
+
+    with pytest.raises(Exception, match="before the commit"):
+        start().awaitTermination()
+    query = start()
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select(*READING_REQUEST.names)
     assert sorted(got.collect(), key=str) == sorted(dedup_first_wins(full).collect(), key=str)
+    state = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert state[-1]["numRowsTotal"] == 3
 
 
 def test_dedup_stream_within_a_horizon(spark, deliveries, tmp_path):
