@@ -31,12 +31,12 @@ COUNTED = (ACCEPTED, ACCEPTED_LATE)
 REJECTED = (DECODE_ERROR, INVALID, DEVICE_NOT_FOUND)
 
 
-def check_deliveries(deliveries: DataFrame, devices: DataFrame) -> DataFrame:
+def check_deliveries(deliveries: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
     """The stages that look at one row and the device table: defaults, violations, device, lateness.
 
     ``deliveries`` holds the request columns and ``decode_error``.
     """
-    checked = flag_known_devices(validate_readings(recorded_at_default(deliveries)), devices)
+    checked = flag_known_devices(validate_readings(recorded_at_default(deliveries)), devices, salts)
     return checked.withColumn(
         "storable",
         ~F.col("decode_error") & (F.size("violations") == 0) & F.col("ingested_at").isNotNull() & F.col("device_known"))

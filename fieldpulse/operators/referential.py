@@ -2,7 +2,8 @@
 
 No broadcast is forced here. Catalyst broadcasts the device ids while their size is below
 ``spark.sql.autoBroadcastJoinThreshold``, AQE re-checks the real size at run time, and beyond it the join
-is a sort-merge join whose skewed partitions (one hot device) AQE splits.
+is a sort-merge join whose skewed partitions (one hot device) AQE splits. Within a plan that has state AQE is
+off; ``flag_known_devices`` can salt the join there.
 """
 
 from __future__ import annotations
@@ -23,12 +24,20 @@ def unknown_device_readings(readings: DataFrame, devices: DataFrame) -> DataFram
     return readings.join(_ids(devices), "device_id", "left_anti")
 
 
-def flag_known_devices(readings: DataFrame, devices: DataFrame) -> DataFrame:
-    """All readings, with ``device_known``. Device ids are unique, so no row is multiplied."""
-    flagged = _ids(devices).withColumn("_known", F.lit(True))
-    return (readings.join(flagged, "device_id", "left")
+def flag_known_devices(readings: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
+    """All readings, with ``device_known``. Device ids are unique, so no row is multiplied.
+
+    ``salts`` above 1 deals the readings of a device over so many join keys, each with its own copy of the id, where AQE
+    cannot split a hot device, as within a plan that has state.
+    """
+    flagged, on = _ids(devices).withColumn("_known", F.lit(True)), ["device_id"]
+    if salts > 1:
+        flagged = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        readings = readings.withColumn("_salt", F.pmod(F.xxhash64("idempotency_key", "ingested_at", "delivery_seq"), F.lit(salts)).cast("int"))
+        on = ["device_id", "_salt"]
+    return (readings.join(flagged, on, "left")
             .withColumn("device_known", F.coalesce("_known", F.lit(False)))
-            .drop("_known"))
+            .drop("_known", "_salt"))
 
 
 def reading_with_device(readings: DataFrame, devices: DataFrame) -> DataFrame:

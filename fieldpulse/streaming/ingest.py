@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.functions.times import utc_literal
-from fieldpulse.operators.dedup import KEY, seen_keys
+from fieldpulse.operators.dedup import KEY, MAX_BROADCAST_BYTES, few_bytes, seen_keys
 from fieldpulse.operators.outcome import (
     check_deliveries, label_outcomes, outcome_counts, rejected_rows, stored_rows,
 )
@@ -32,6 +32,9 @@ from fieldpulse.streaming.progress import last_commit
 from fieldpulse.streaming.stateful import with_new_keys
 from fieldpulse.streaming.store import Store
 
+# Join keys per device in the stateful stream, if its device ids are too large to broadcast.
+DEVICE_SALTS = 16
+
 
 def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
                  policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups()) -> None:
@@ -98,16 +101,20 @@ def start_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
 
 def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
                           policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups(),
-                          **trigger) -> StreamingQuery:
+                          max_broadcast: int = MAX_BROADCAST_BYTES, **trigger) -> StreamingQuery:
     """Starts the stream with the seen keys in its state. Every delivery of a micro-batch and the keys that are new
     in it reach one sink, which labels and stores them like ``start_ingest``.
 
     Use a store that was filled this way from its first batch, as the state holds the keys. A reading of a
-    device that registers later is rejected under the table that its batch noted, and leaves its key free.
+    device that registers later is rejected under the table that its batch noted, and leaves its key free. The device ids
+    are broadcast while they take at most ``max_broadcast`` bytes; beyond that the join with them is salted.
     """
     spark = deliveries.sparkSession
     version = store.version_after(last_commit(spark, checkpoint))
-    both = with_new_keys(check_deliveries(deliveries, store.devices(version)), F.col("storable"))
+    ids, salts = store.devices(version).select("id"), DEVICE_SALTS
+    if few_bytes(ids, max_broadcast):
+        ids, salts = F.broadcast(ids), 1
+    both = with_new_keys(check_deliveries(deliveries, ids, salts), F.col("storable"))
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
         store.devices_version(batch_id, version)

@@ -125,7 +125,8 @@ def test_batches_share_windows_keys_and_new_devices(spark, store, deliveries):
     assert after == compacted and store.readings().count() == 4
 
 
-def test_stateful_ingest_gives_the_same_readings(spark, store, deliveries, tmp_path):
+@pytest.mark.parametrize("max_broadcast", [ingest.MAX_BROADCAST_BYTES, 0])
+def test_stateful_ingest_gives_the_same_readings(spark, store, deliveries, tmp_path, max_broadcast):
     store.write_devices(device_rows(spark, "d1"))
     full = deliveries(
         ("a", "00:10", "00:13", 3.0), ("a", "00:10", "00:11", 1.0), ("u", "00:10", "00:12", 5.0, "d2"),
@@ -136,7 +137,7 @@ def test_stateful_ingest_gives_the_same_readings(spark, store, deliveries, tmp_p
     def drain():
         source = plain(files.reading_requests(spark, str(tmp_path / "in"), "parquet", streaming=True,
                                               max_files=1))
-        ingest.start_stateful_ingest(source, store, str(tmp_path / "checkpoint")).awaitTermination()
+        ingest.start_stateful_ingest(source, store, str(tmp_path / "checkpoint"), max_broadcast=max_broadcast).awaitTermination()
 
     drain()
     labelled = outcome.ingest_outcome(plain(full), device_rows(spark, "d1").select("id"))
