@@ -3,9 +3,9 @@
 Documents with the same set of word shingles form a class; only one representative of each class is joined.
 Every representative gets a signature per tree, a short sequence of minimum hashes. A tree is the trie of all its
 signatures; a run of signatures with the same first ``depth`` values is a node. The join starts at the deepest
-nodes and shortens the prefix by one value at a time. After each step the recall is estimated from the exact
-similarities found so far, each weighted by one over the chance to find it, and the join stops at the target (or at
-the shortest prefix, where even a pair right at the threshold is found with ``Forest.floor_recall``).
+nodes and shortens the prefix by one value at a time. It stops where even a pair right at the threshold, the hardest to
+find, has been found with the target recall (or at the shortest prefix, with ``Forest.floor_recall``). The pairs found
+so far have no say in that: a large group of copies would lift any figure over all pairs.
 
 Nodes hold any number of documents, so their members are dealt to blocks and each pair of blocks is a task's
 work. A pair of documents is compared once only: at the depth and in the first tree of its longest common prefix.
@@ -228,15 +228,13 @@ def _roots(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def verified(found: DataFrame, sets: DataFrame, copies: DataFrame, forest: Forest) -> DataFrame:
     """Exact comparison: per cell and document its links (partners with their copies), and a document it is
-    connected to; the first also holds the number of pairs and, per depth, their sum of one over the chance."""
-    depths = range(forest.least_depth, forest.depth + 1)
-
+    connected to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell"):
             cells = table.column("cell").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]])
             columns = {name: table.column(name).combine_chunks() for name in ("doc", "copies", "shingles", "partners")}
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], []]
             for first, last in zip(cuts, cuts[1:]):
                 size = int(last - first)
                 doc = columns["doc"].slice(first, size).to_numpy()
@@ -253,7 +251,7 @@ def verified(found: DataFrame, sets: DataFrame, copies: DataFrame, forest: Fores
                 both = _overlaps(sets_, a, b)
                 similarity = both / (lengths[a] + lengths[b] - both)
                 keep = similarity >= forest.threshold
-                a, b, similarity = a[keep], b[keep], similarity[keep]
+                a, b = a[keep], b[keep]
                 if not len(a):
                     continue
                 links = np.bincount(a, weight[b], size) + np.bincount(b, weight[a], size)
@@ -264,19 +262,11 @@ def verified(found: DataFrame, sets: DataFrame, copies: DataFrame, forest: Fores
                 out[0].append(doc[rows])
                 out[1].append(links[rows].astype(np.int64))
                 out[2].append(root[rows])
-                out[3].append(np.concatenate([[len(a)], np.zeros(len(rows) - 1, np.int64)]))
-                hidden = np.zeros((len(rows), len(depths)))
-                hidden[0] = [(1 / forest.chance(similarity, depth)).sum() for depth in depths]
-                out[4].append(hidden)
             if out[0]:
-                hidden = np.concatenate(out[4])
-                offsets = np.arange(0, hidden.size + 1, len(depths), dtype=np.int32)
-                yield pa.record_batch([*(pa.array(np.concatenate(part)) for part in out[:4]),
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(hidden.ravel()))],
-                                      ["doc", "links", "root", "pairs", "weighted"])
+                yield pa.record_batch([pa.array(np.concatenate(part)) for part in out], ["doc", "links", "root"])
     rows = found.join(sets, "doc").join(copies.select("doc", "copies"), "doc")
     rows = rows.repartition("cell").sortWithinPartitions("cell")
-    return rows.mapInArrow(run, "doc long, links long, root long, pairs long, weighted array<double>")
+    return rows.mapInArrow(run, "doc long, links long, root long")
 
 
 def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
@@ -307,8 +297,7 @@ def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
         found = candidates(reps_left, dealt, depth, forest)
         results.append(stored(verified(found, sets, reps_left, forest), "links"))
         links = results[0] if links is None else links.unionByName(results[-1])
-        row = links.agg(F.sum("pairs"), F.sum(F.col("weighted")[depth - forest.least_depth])).first()
-        if row[0] and row[0] / row[1] >= forest.target_recall:
+        if forest.chance(np.float64(forest.threshold), depth) >= forest.target_recall:
             break
     counted = links.groupBy("doc").agg(F.sum("links").alias("links"))
     groups = connected_components(links.select(F.col("doc").alias("u"), F.col("root").alias("v")))

@@ -73,6 +73,18 @@ def test_join_splits_large_nodes(docs):
     assert {row.doc_id: row.n_links for row in ngram_join.similar_documents(docs(*rows), small).collect()} == expected
 
 
+def test_join_finds_threshold_pairs_beside_a_large_group(docs):
+    """Of 60 pairs at 0.81 the deepest nodes miss some; 1,770 pairs of near copies, all found there, must not end the join."""
+    hot = [f"hot{i}" for i in range(1000)]
+    rows = [(i, " ".join(hot[:16 * i] + ["changed"] + hot[16 * i + 1:])) for i in range(60)]
+    for pair in range(60):
+        words = [f"p{pair}x{i}" for i in range(100)]
+        rows += [(100 + 2 * pair, " ".join(words)), (101 + 2 * pair, " ".join(words[:30] + ["one"] + words[31:60] + ["two"] + words[61:]))]
+    forest = ngram_join.Forest(trees=4, least_depth=1, target_recall=0.99, screen=0.3)
+    got = {row.doc_id: (row.n_links, row.class_id) for row in ngram_join.similar_documents(docs(*rows), forest).collect()}
+    assert got == {doc: (59, 0) if doc < 60 else (1, doc - doc % 2) for doc, _ in rows}
+
+
 def test_one_of_each_keeps_null_and_wordless_rows(docs):
     rows = docs((None, PLAIN), (1, None), (2, ""), (7, PLAIN), (8, NEAR), (9, PLAIN), (9, PLAIN))
     assert sorted(str(row.doc_id) for row in ngram_join.one_of_each(rows).collect()) == ["1", "2", "7", "None"]
