@@ -37,11 +37,11 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """int8 values (as float32, in which their products are exact), scales and norms of the rounding errors."""
+    """int8 values (in a float type in which their products are exact), scales and norms of the rounding errors."""
     scale = np.maximum(np.abs(vectors).max(axis=1) / 127, np.finfo(np.float64).tiny)
     values = np.rint(vectors / scale[:, None])
     error = np.linalg.norm(vectors - values * scale[:, None], axis=1)
-    return values.astype(np.int8).astype(np.float32), scale, error
+    return values.astype(np.float32 if vectors.shape[1] * 127 ** 2 <= 1 << 24 else np.float64), scale, error
 
 
 def _dot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -101,13 +101,16 @@ def nearest(vectors: DataFrame, is_query: Column, tiles: Tiles = Tiles()) -> Dat
     satisfies ``is_query``, nearest first, ties to the smaller vec_id; all candidates if there are fewer.
 
     Rows with a null, empty or zero vector, with a null or non-finite component, or without vec_id take no part. A vector
-    meets those of its own length only. Of candidates with the same vector only the k + 1 smallest ids can be
-    among the k nearest, so no more of them are compared. Rows that repeat a vec_id count each. Other columns are not used.
+    meets those of its own length only. Rows that repeat a vec_id count each. Of candidates with the same vector only the k + 1
+    smallest ids, and k rows of each, can be among the k nearest, so no more of them are compared. Other columns are not used.
     """
     ship(vectors.sparkSession)
     rows = stored(usable(vectors).withColumn("dims", F.size("embedding")), "vectors")
-    first = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
-    candidates = rows.withColumn("_copy", first).where(F.col("_copy") <= tiles.k + 1).drop("_copy")
+    # Ids are ranked, not rows: a query leaves out all rows of its own id, and k others must stay.
+    copy = F.row_number().over(Window.partitionBy("embedding", "vec_id").orderBy("dims"))
+    place = F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    candidates = rows.withColumn("_copy", copy).where(F.col("_copy") <= tiles.k)
+    candidates = candidates.withColumn("_place", place).where(F.col("_place") <= tiles.k + 1).drop("_copy", "_place")
     queries = rows.where(is_query)
     n_queries, n_candidates = queries.count(), rows.count()
     q_blocks, c_blocks = -(-n_queries // tiles.queries) or 1, -(-n_candidates // tiles.candidates) or 1

@@ -45,6 +45,25 @@ def test_neighbours_match_brute_force(spark):
     assert neighbours.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 21])
+def test_neighbours_of_a_repeated_id(spark, times):
+    """The query's own rows take no places from the 25 other ids that hold the same vector."""
+    rows = [(20, [1.0, 0.0])] * times + [(21 + i, [1.0, 0.0]) for i in range(25)] + [(900 + i, [0.5, 0.5]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = neighbours.nearest(table, F.col("vec_id") == 20).collect()
+    assert len(got) == 20
+    # Each of the query's rows asks, so an id comes once per row, the smallest ids first.
+    assert [row.vec_id for row in sorted(got, key=lambda r: r["rank"])] == [21 + i // times for i in range(20)]
+
+
+def test_wide_tiles_are_exact():
+    """2,000 products of 127 * 127 - 1 and the like do not fit the 24 bits of a float32."""
+    values = np.full((1, 2001), 127.0)
+    values[0, 0] = 126
+    made = neighbours._quantised(values)[0]
+    assert int((made @ made.T)[0, 0]) == 2000 * 127 ** 2 + 126 ** 2 and made.dtype == np.float64
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_agrees_with_sql(spark, name):
     connection = duckdb.connect()
