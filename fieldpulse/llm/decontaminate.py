@@ -43,11 +43,16 @@ class Phrases:
     lengths: np.ndarray
     item_begins: np.ndarray
     items: np.ndarray
-    names: list[str] = field(default_factory=list)
+    names: list[str | None] = field(default_factory=list)
+
+
+def _null_last(name: str | None) -> tuple[bool, str]:
+    return name is None, name or ""
 
 
 def phrases(item_ids: list, texts: list[str | None], size: int) -> Phrases:
-    names = sorted({str(item) for item in item_ids})
+    item_names = [None if item is None else str(item) for item in item_ids]
+    names = sorted(set(item_names), key=_null_last)
     number = {name: index for index, name in enumerate(names)}
     part = next(slices(pa.array(texts, pa.string()), 1 << 62), Slice(0, 0, np.zeros(0, np.uint8), np.zeros(1, np.int64)))
     found = words(part)
@@ -62,7 +67,7 @@ def phrases(item_ids: list, texts: list[str | None], size: int) -> Phrases:
             held = np.concatenate([held, np.zeros(size - len(held), held.dtype)])
         windows = np.lib.stride_tricks.sliding_window_view(held, size)
         rows.append(windows)
-        owner.append(np.full(len(windows), number[str(item_ids[part.first + doc])]))
+        owner.append(np.full(len(windows), number[item_names[part.first + doc]]))
     if not rows:
         return Phrases(vocabulary, np.zeros((0, size), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), names)
     patterns, which = np.unique(np.concatenate(rows).astype(np.int64), axis=0, return_inverse=True)
@@ -158,7 +163,7 @@ def _search_block(docs: DataFrame, known, keep: list[str]) -> DataFrame:
                         base = part.offsets[doc]
                         held = [dict(zip(SPAN_FIELDS, (int(point[a - base]), int(point[b - base]), one, two))) for a, b, one, two in held]
                     hits.append(held)
-                    named.append(sorted({block.names[item] for item in items[done + doc]}))
+                    named.append(sorted({block.names[item] for item in items[done + doc]}, key=_null_last))
                 yield pa.record_batch([*(rows.column(name) for name in keep), pa.array(count[done:done + part.n_docs], pa.int64()),
                                        pa.array(named, pa.list_(pa.string())),
                                        pa.array(hits, pa.list_(pa.struct([(name, pa.int64()) for name in SPAN_FIELDS])))],
@@ -182,7 +187,7 @@ def _search_block(docs: DataFrame, known, keep: list[str]) -> DataFrame:
 
 def _blocks(benchmark: DataFrame, windows: Windows):
     """Collects the benchmark block by block; a block holds about ``block_bytes`` of text at most."""
-    items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
+    items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // windows.block_bytes) or 1
     for block in range(blocks):
@@ -194,7 +199,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, windows: Windows =
     """Per row of ``docs(doc_id, text)``: the ``keep`` columns and text, n_words, item ids (as sorted strings) with an occurring
     window, and the merged removal spans (code points first to last and words first_word to last_word, ends exclusive).
 
-    A null text has no words. Items without item_id or text take no part; an item that is repeated counts once. An
+    A null text has no words. Items without text take no part; an item that is repeated counts once. Items without item_id are
+    searched like any other and count as one item, a null at the end of the list. An
     empty benchmark or table gives no spans. Other columns of both tables are not used.
     """
     ship(docs.sparkSession)

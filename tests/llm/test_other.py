@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 import corpus_pipeline
 from check_queries import TABLES, comparable
-from fieldpulse.llm import chat, neighbours, queries
+from fieldpulse.llm import chat, decontaminate, neighbours, queries
 
 
 def test_chat_round_trip(spark):
@@ -74,6 +74,24 @@ def test_query_agrees_with_sql(spark, name):
     assert got.equals(expected) and len(got)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_items_without_an_id_agree_with_sql(spark, tmp_path, monkeypatch, block_bytes):
+    words = " ".join(f"b{i}" for i in range(14))
+    docs = [(1, f"a {words} b"), (2, "clean text"), (3, "short item"), (4, f"short item {words}"), (5, None)]
+    items = [(None, words), (None, "short item"), (7, f"x {words}"), (8, None), (None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(decontaminate.find_contamination, "__defaults__", (decontaminate.Windows(block_bytes=block_bytes), ("doc_id",)))
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    got = queries.op8_decontamination(spark, str(tmp_path)).toPandas()
+    assert comparable(got).equals(comparable(connection.execute(queries.oracle_sql()["op8_decontamination"]).df()))
+    assert got.set_index("doc_id").contaminated.to_dict() == {1: True, 2: False, 3: True, 4: True, 5: False}
+    cut = decontaminate.without_passages(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {row.doc_id: row.text for row in cut.collect()} == {1: "a  b", 2: "clean text", 5: None}
+
+
 def test_pipeline_stages_keep_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
