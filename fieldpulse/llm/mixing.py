@@ -3,7 +3,8 @@
 A source whose target is r times its size takes floor(r) whole copies of each document for certain. The rest, a share p of
 its words, is a sample of fixed size: documents are ranked by their random odds divided by their inclusion odds,
 (u / (1 - u)) / (p / (1 - p)), and the smallest are taken until their words reach the rest. The inclusion chances differ by
-source and the size is fixed in words, so a source ends within half a document of its target.
+source and the size is fixed in words, so a source ends within half a document of its target. Within a source all
+documents have the same odds p, so there the order equals that by u, and every document has the same chance.
 
 The cut in the ranking is found without sorting a source in one task: the words are summed per interval of the ranking
 first, and only the interval with the cut is ordered by document.
