@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -8,15 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from fieldpulse import build_session  # noqa: E402
 from fieldpulse.schemas import READING_REQUEST  # noqa: E402
-
-SF = "/root/testdata/sf0.001"
-DAY0 = datetime(2026, 9, 25)
-
-
-def at(text: str) -> datetime:
-    """``MM:SS[.ffffff]`` past the start of a day."""
-    minutes, seconds = text.split(":")
-    return DAY0 + timedelta(minutes=int(minutes), seconds=float(seconds))
+from telemetry_rows import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")

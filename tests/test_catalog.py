@@ -1,6 +1,6 @@
 import duckdb
 import pytest
-from conftest import SF
+from telemetry_rows import SF
 
 import __spark_entry__ as entry
 from check_queries import TABLES, comparable

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import at
+from telemetry_rows import at
 from pyspark.sql import functions as F
 
 from fieldpulse.operators import decode

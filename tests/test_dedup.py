@@ -1,6 +1,6 @@
 import random
 
-from conftest import at
+from telemetry_rows import at
 from pyspark.sql import functions as F
 
 from fieldpulse.operators import dedup

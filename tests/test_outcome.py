@@ -1,4 +1,4 @@
-from conftest import SF, at
+from telemetry_rows import SF, at
 from pyspark.sql import functions as F
 
 from fieldpulse.operators import outcome

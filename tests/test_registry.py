@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import at
+from telemetry_rows import at
 
 from fieldpulse.operators import registry, views
 from fieldpulse.schemas import DEVICE, DEVICE_PATCH, DEVICE_REQUEST

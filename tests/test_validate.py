@@ -1,5 +1,5 @@
 import pytest
-from conftest import at
+from telemetry_rows import at
 
 from fieldpulse.operators import registry, validate
 from fieldpulse.schemas import DEVICE_PATCH, DEVICE_REQUEST, READING_REQUEST

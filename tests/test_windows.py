@@ -1,6 +1,6 @@
 from datetime import timedelta
 
-from conftest import at
+from telemetry_rows import at
 from pyspark.sql import functions as F
 
 from fieldpulse.operators import windows
