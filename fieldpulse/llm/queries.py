@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with the SQL that checks them where SQL can."""
+"""The operators as queries over the given tables, with the SQL that checks them where SQL can."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import chat, decontaminate, line_dedup, mixing, neighbours, ngram_join, pii, quality, secret_scan, toxicity
+from fieldpulse.llm import (
+    chat, conversation_repair, decontaminate, language_id, line_dedup, mixing, neighbours, ngram_join, pii, quality, secret_scan, toxicity, whitening,
+)
 from fieldpulse.llm.learning import fold
-from fieldpulse.llm.tables import given
+from fieldpulse.llm.tables import given, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,8 +99,31 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _sha256(_span_text(base)).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = given(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
+    found = language_id.identify(docs, language_id.learn(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(given(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = given(spark, sf_dir, "conversations")
+    report, repaired = conversation_repair.repair(conversation_repair.damage(rows))
+    known = stored(report.join(conversation_repair.line_digests(repaired).withColumnRenamed("conv_id", "_id"), F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+                   .drop("_id").withColumn("repaired_sha256", F.coalesce("repaired_sha256", _sha256(F.lit("")))), "repaired")
+    gone = rows.select(F.col("conv_id").cast("long").alias("_id")).distinct()
+    zero = F.lit(0).cast("long")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return gone.join(known, F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        F.col("_id").alias("conv_id"), *(F.coalesce(name, zero).alias(name) for name in numbers), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", _sha256(F.lit(""))).alias("repaired_sha256"))
+
+
 QUERIES: tuple[Query, ...] = (op1_ngram_join, op2_toxicity, op3_mixing, op4_quality, op5_line_dedup, op6_chat, op7_secret_scan,
-                              op8_decontamination, op9_neighbours, op10_pii)
+                              op8_decontamination, op9_neighbours, op10_pii, op11_language_id, op12_whitening, op13_conversation_repair)
 
 
 def queries() -> dict[str, Query]:
@@ -203,4 +228,67 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    # Cheapest paths row by row, one per state; no search. The remainder is CRC32 spelled out bit by bit.
+    "op13_conversation_repair": r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS chars FROM conversations),
+harmed AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+           list_concat([4294967295::UBIGINT], flatten(list_transform(chars, lambda c: [ord(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, x: CASE WHEN (xor(c, x) & 1::UBIGINT) = 1 THEN xor(xor(c, x) >> 1, 3988292384::UBIGINT) ELSE xor(c, x) >> 1 END), 4294967295::UBIGINT) % 20 AS harm
+  FROM named),
+rows_after AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM harmed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM rows_after),
+judged AS (
+  SELECT conv_id, turn, pos, role, text, substr(role, 1, 1) AS initial,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '-' END AS fault
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+         count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM judged GROUP BY conv_id),
+-- A way is its cost, its edits and the rows it leaves; z nothing yet, s after a system row, u a user's, a an assistant's.
+ways AS (
+  SELECT conv_id, 0::BIGINT AS pos, n, {'cost': 0::BIGINT, 'edits': '', 'left': []::VARCHAR[]} AS z, NULL::STRUCT(cost BIGINT, edits VARCHAR, "left" VARCHAR[]) AS s,
+         NULL::STRUCT(cost BIGINT, edits VARCHAR, "left" VARCHAR[]) AS u, NULL::STRUCT(cost BIGINT, edits VARCHAR, "left" VARCHAR[]) AS a
+  FROM counted
+  UNION ALL
+  SELECT conv_id, pos, n,
+         {'cost': z.cost + 2, 'edits': z.edits || 'D', 'left': z.left},
+         list_sort(list_filter([CASE WHEN s IS NOT NULL THEN {'cost': s.cost + 2, 'edits': s.edits || 'D', 'left': s.left} END,
+                                CASE WHEN stays AND initial = 's' THEN {'cost': z.cost + more, 'edits': z.edits || 'K', 'left': list_append(z.left, role || ':' || text)} END], lambda w: w IS NOT NULL))[1],
+         list_sort(list_filter([{'cost': u2.cost + 2, 'edits': u2.edits || 'D', 'left': u2.left},
+                                CASE WHEN stays AND initial = 'u' THEN {'cost': pre.cost + more, 'edits': pre.edits || 'K', 'left': list_append(pre.left, role || ':' || text)} END,
+                                CASE WHEN stays THEN {'cost': pre.cost + more + 1, 'edits': pre.edits || 'R', 'left': list_append(pre.left, 'user:' || text)} END], lambda w: w IS NOT NULL))[1],
+         list_sort(list_filter([{'cost': a2.cost + 2, 'edits': a2.edits || 'D', 'left': a2.left},
+                                CASE WHEN stays AND initial = 'a' THEN {'cost': u2.cost + more, 'edits': u2.edits || 'K', 'left': list_append(u2.left, role || ':' || text)} END,
+                                CASE WHEN stays THEN {'cost': u2.cost + more + 1, 'edits': u2.edits || 'R', 'left': list_append(u2.left, 'assistant:' || text)} END], lambda w: w IS NOT NULL))[1]
+  FROM (SELECT *, list_sort(list_filter([z, s, a2], lambda w: w IS NOT NULL))[1] AS pre
+        FROM (SELECT *, list_sort(list_filter([a, {'cost': u2.cost + 5, 'edits': u2.edits || 'I', 'left': list_append(u2.left, 'assistant:')}], lambda w: w IS NOT NULL))[1] AS a2
+              FROM (SELECT w.conv_id, w.pos + 1 AS pos, w.n, w.z, w.s, w.a, j.initial, j.role, j.text, j.fault IN ('t', '-') AS stays,
+                           CASE j.fault WHEN 't' THEN 5 ELSE 0 END AS more,
+                           list_sort(list_filter([w.u, {'cost': w.z.cost + 5, 'edits': w.z.edits || 'I', 'left': list_append(w.z.left, 'user:')},
+                                                  CASE WHEN w.s IS NOT NULL THEN {'cost': w.s.cost + 5, 'edits': w.s.edits || 'I', 'left': list_append(w.s.left, 'user:')} END,
+                                                  CASE WHEN w.a IS NOT NULL THEN {'cost': w.a.cost + 5, 'edits': w.a.edits || 'I', 'left': list_append(w.a.left, 'user:')} END],
+                                                 lambda w: w IS NOT NULL))[1] AS u2
+                    FROM ways w JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.pos = w.pos + 1)))),
+ended AS (
+  SELECT conv_id, list_sort(list_filter([z, a, CASE WHEN u IS NOT NULL THEN {'cost': u.cost + 5, 'edits': u.edits || 'I', 'left': list_append(u.left, 'assistant:')} END,
+           CASE WHEN s IS NOT NULL THEN {'cost': s.cost + 10, 'edits': s.edits || 'II', 'left': list_concat(s.left, ['user:', 'assistant:'])} END], lambda w: w IS NOT NULL))[1] AS best
+  FROM ways WHERE pos = n)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.edits, '') AS audit,
+       sha256(coalesce(array_to_string(e.best.left, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+     LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id""",
 }
