@@ -108,6 +108,13 @@ def resolve_duplicates(deliveries: DataFrame, stored: DataFrame, key: str = KEY,
     return rows.where(~F.col("_same")).select(*out).unionByName(again)
 
 
+def answer_duplicates(duplicates: DataFrame, stored: DataFrame, key: str = KEY,
+                      order: Sequence[str] = ARRIVAL, hot: HotGroups = HotGroups()) -> DataFrame:
+    """Deliveries known to be duplicates, each with the stored row of its key. ``stored`` has one row per key."""
+    answer = stored.select(key, *[F.col(c).alias(f"stored_{c}") for c in stored.columns if c != key])
+    return spread_join(duplicates.select(key, *order), answer, [key], order[-1], "inner", hot)
+
+
 def duplicate_count(deliveries: DataFrame, key: str = KEY) -> DataFrame:
     """Rejected copies: deliveries less distinct keys."""
     per_key = deliveries.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.operators.decode import recorded_at_default
 from fieldpulse.operators.dedup import mark_first
-from fieldpulse.operators.referential import flag_known_devices
+from fieldpulse.operators.referential import flag_known_at_arrival, flag_known_devices
 from fieldpulse.operators.validate import validate_readings
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, LATE_ACCEPTED, LATE_DROPPED, WindowPolicy, late_by, lateness_class,
@@ -34,9 +34,11 @@ REJECTED = (DECODE_ERROR, INVALID, DEVICE_NOT_FOUND)
 def check_deliveries(deliveries: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
     """The stages that look at one row and the device table: defaults, violations, device, lateness.
 
-    ``deliveries`` holds the request columns and ``decode_error``.
+    ``deliveries`` holds the request columns and ``decode_error``. ``devices`` has an id per device, or is from ``referential.existence``; then a
+    device must have been there when the reading arrived.
     """
-    checked = flag_known_devices(validate_readings(recorded_at_default(deliveries)), devices, salts)
+    checks = validate_readings(recorded_at_default(deliveries))
+    checked = flag_known_at_arrival(checks, devices) if "states" in devices.columns else flag_known_devices(checks, devices, salts)
     return checked.withColumn(
         "storable",
         ~F.col("decode_error") & (F.size("violations") == 0) & F.col("ingested_at").isNotNull() & F.col("device_known"))

@@ -40,5 +40,24 @@ def flag_known_devices(readings: DataFrame, devices: DataFrame, salts: int = 1)
             .drop("_known", "_salt"))
 
 
+def existence(devices: DataFrame, states: DataFrame) -> DataFrame:
+    """Per device id whether the snapshot has it, and in order the later times at which it came (``there``) or went.
+
+    ``states(id, received_at, seq, there)`` has a row per registration and deletion that took place; those of a device meet in one row.
+    """
+    later = states.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("received_at", "seq", "there"))).alias("states"))
+    return (devices.select("id", F.lit(True).alias("_held")).join(later, "id", "full")
+            .select("id", F.coalesce("_held", F.lit(False)).alias("held"), "states"))
+
+
+def flag_known_at_arrival(readings: DataFrame, known: DataFrame) -> DataFrame:
+    """All readings, with ``device_known``: whether the device was there when the reading arrived. ``known`` is from ``existence``; a change at the very
+    time of arrival counts. A reading without an arrival time is judged by the snapshot."""
+    past = F.filter("states", lambda state: state["received_at"] <= F.col("ingested_at"))
+    flagged = known.withColumnRenamed("id", "device_id")
+    there = F.coalesce(F.get(past, F.size(past) - 1)["there"], F.col("held"), F.lit(False))
+    return readings.join(flagged, "device_id", "left").withColumn("device_known", there).drop("held", "states")
+
+
 def reading_with_device(readings: DataFrame, devices: DataFrame) -> DataFrame:
     return readings.join(devices.withColumnRenamed("id", "device_id"), "device_id")

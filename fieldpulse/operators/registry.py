@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.functions.times import utc_literal
 from fieldpulse.operators.dedup import dedup_first_wins, mark_first
+from fieldpulse.operators.skew import last_before
 from fieldpulse.operators.validate import DEVICE_NOT_FOUND, INVALID, patch_error, valid, validate_devices
 from fieldpulse.operators.views import location_pack
 
@@ -24,6 +25,10 @@ UPDATED = "UPDATED"
 DELETED = "DELETED"
 DEVICE_HAS_READINGS = "DEVICE_HAS_READINGS"
 
+REGISTER = "REGISTER"
+PATCH = "PATCH"
+DELETE = "DELETE"
+
 ORDER = ("received_at", "seq")
 
 
@@ -109,3 +114,66 @@ def _devices_with_readings(deletes: DataFrame, readings: DataFrame) -> DataFrame
     """Ids to delete that have readings. A task sends one row per device, however many readings it saw."""
     return (readings.select(F.col("device_id").alias("id")).distinct()
             .join(deletes.select("id"), "id", "left_semi"))
+
+
+# -- registrations, patches and deletions in one ordered batch -----------------------------------------
+
+def change_outcome(changes: DataFrame, devices: DataFrame, readings: DataFrame) -> DataFrame:
+    """Adds ``outcome`` to ``changes`` (schemas.DEVICE_CHANGE) as if they were applied one after the other.
+
+    Whether a device exists before a change is decided by the last change that made or removed it, whatever came before that: a valid
+    registration leaves it there, a deletion removes it unless it has readings. So one look at the last such change replaces a fold over all.
+    A change without an id is a registration that fails its checks, or an unknown device.
+    """
+    used = _devices_with_readings(changes.where(F.col("kind") == DELETE), readings).withColumn("_used", F.lit(True))
+    found = devices.select("id", F.lit(True).alias("_found")).join(used, "id", "full")
+    checked = validate_devices(changes).join(found, "id", "left")
+    there = (F.when((F.col("kind") == REGISTER) & (F.size("violations") == 0), F.lit(True))
+             .when((F.col("kind") == DELETE) & F.col("_used").isNull(), F.lit(False)))
+    known = last_before(checked.withColumn("_there", there), ["id"], ORDER, "_there", "_before")
+    exists = F.coalesce("_before", "_found", F.lit(False))
+    outcome = (
+        F.when(F.col("kind") == REGISTER, F.when(F.size("violations") > 0, INVALID).when(exists, DEVICE_ALREADY_EXISTS).otherwise(REGISTERED))
+        .when(F.col("kind") == PATCH, F.coalesce(patch_error(exists), F.lit(UPDATED)))
+        .when(F.col("kind") == DELETE, F.when(~exists, DEVICE_NOT_FOUND).when(F.col("_used"), DEVICE_HAS_READINGS).otherwise(DELETED))
+        .otherwise(INVALID))
+    return known.withColumn("outcome", outcome).select(*changes.columns, "outcome")
+
+
+def changed_devices(judged: DataFrame, devices: DataFrame, batch_ts: datetime) -> DataFrame:
+    """The devices that a judged batch changed, as they are after it, and ``deleted``; a device that was made and removed is deleted, too.
+
+    Everything comes from the last row of each kind per device, so a task sends one row per device, however many changes it read.
+    """
+    order = F.struct(*ORDER)
+    made, patched, removed = (F.col("outcome") == kind for kind in (REGISTERED, UPDATED, DELETED))
+    fields = F.struct("device_name", "device_type", "site", F.struct("latitude", "longitude").alias("location"))
+    last = judged.where(made | patched | removed).groupBy("id").agg(
+        F.max(F.when(made, order)).alias("_made"), F.max(F.when(removed, order)).alias("_removed"), F.max(F.when(patched, order)).alias("_patched"),
+        F.max_by(F.when(made, fields), F.when(made, order)).alias("_new"),
+        *(part for name in ("device_name", "device_type") for part in (
+            F.max_by(F.when(patched, F.col(name)), F.when(patched & F.col(name).isNotNull(), order)).alias(f"_{name}"),
+            F.max(F.when(patched & F.col(name).isNotNull(), order)).alias(f"_{name}_at"))))
+    rows = last.join(devices, "id", "left")
+    fresh = F.col("_made").isNotNull()
+    since = lambda at: ~fresh | (F.col(at) > F.col("_made"))  # noqa: E731  patches before the last registration are gone with its predecessor
+    at = utc_literal(batch_ts)
+    columns = {name: F.when(fresh, F.col("_new")[name]).otherwise(F.col(name)) for name in ("device_name", "device_type", "site", "location")}
+    for name in ("device_name", "device_type"):
+        columns[name] = F.when(F.col(f"_{name}_at").isNotNull() & since(f"_{name}_at"), F.col(f"_{name}")).otherwise(columns[name])
+    columns["created_at"] = F.when(fresh, at).otherwise(F.col("created_at"))
+    columns["updated_at"] = F.when(fresh | F.col("_patched").isNotNull(), at).otherwise(F.col("updated_at"))
+    gone = F.col("_removed").isNotNull() & (~fresh | (F.col("_removed") > F.col("_made")))
+    return rows.select("id", *(column.alias(name) for name, column in columns.items()), gone.alias("deleted"))
+
+
+def apply_changes(changes: DataFrame, devices: DataFrame, readings: DataFrame, batch_ts: datetime) -> DataFrame:
+    """The next snapshot after a batch of mixed changes."""
+    changed = changed_devices(change_outcome(changes, devices, readings), devices, batch_ts)
+    return merged_devices(devices, changed)
+
+
+def merged_devices(devices: DataFrame, changed: DataFrame) -> DataFrame:
+    """A snapshot with the rows of ``changed`` in place of its own."""
+    kept = devices.join(changed.select("id"), "id", "left_anti")
+    return kept.unionByName(changed.where("not deleted").select(*devices.columns))

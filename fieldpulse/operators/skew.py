@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.session import scratch_dir
@@ -95,3 +95,23 @@ def spread_join(rows: DataFrame, one: DataFrame, keys: Sequence[str], spread_by:
     right = one.join(salts, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
     return left.drop("_salts").join(right.drop("_salts"), [*keys, "_salt"], how).drop("_salt")
+
+
+def last_before(rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``rows`` with the last non-null ``value`` among the earlier rows of the same keys, or null.
+
+    A window over the keys alone would hold all rows of a hot key in one task. Rows are dealt by key *and* order instead, so a hot key spans
+    several tasks; each looks at its own run of rows, and what the runs before it end with is carried over, one row per key and run.
+    """
+    keys = list(keys)
+    placed = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("_place", F.monotonically_increasing_id())
+    path = scratch_dir(rows.sparkSession, "in-order")
+    placed.write.parquet(path)
+    placed = rows.sparkSession.read.schema(placed.schema).parquet(path).withColumn("_run", F.shiftright("_place", 33))
+    own = F.last(value, True).over(Window.partitionBy(*keys, "_run").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1))
+    ends = placed.where(F.col(value).isNotNull()).groupBy(*keys, "_run").agg(F.max_by(value, "_place").alias("_end"))
+    runs = placed.select(*keys, "_run").distinct().join(ends, [*keys, "_run"], "left")
+    carried = runs.select(*keys, "_run", F.last("_end", True).over(
+        Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    return (placed.withColumn("_own", own).join(carried, [*keys, "_run"], "left")
+            .withColumn(name, F.coalesce("_own", "_carried")).select(*rows.columns, name))

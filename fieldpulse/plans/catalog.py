@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.functions.times import micros_between, utc_literal
-from fieldpulse.operators import decode, dedup, outcome, referential, registry, validate, views, windows
+from fieldpulse.operators import (
+    decode, dedup, outcome, referential, registry, subscriptions, validate, views, windows,
+)
 from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import WindowPolicy
+from fieldpulse.schemas import DEVICE_CHANGE
 from fieldpulse.session import scratch_dir
 from fieldpulse.sources import messages as files
 from fieldpulse.sources import testdata as td
 from fieldpulse.streaming import stateful
-from fieldpulse.streaming.ingest import ingest_batch, start_ingest, start_stateful_ingest
+from fieldpulse.streaming.ingest import ingest_batch, start_ingest, start_live_ingest, start_stateful_ingest
+from fieldpulse.streaming.key_index import IndexShape, KeyIndex, dedup_against_index
+from fieldpulse.streaming.progress import ProgressTable
 from fieldpulse.streaming.store import Store
+from fieldpulse.streaming.window_counts import WindowCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +149,12 @@ def topic_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.topic_match(td.stray_topics(spark, sf_dir)).select("topic", "delivery_seq")
 
 
+@_query
+def subscription_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subscriptions.subscription_match(td.stray_topics(spark, sf_dir), td.subscriptions(spark, sf_dir)).select(
+        "subscription", "topic", "delivery_seq")
+
+
 @_query
 def topic_device_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return td.stray_topics(spark, sf_dir).select(
@@ -279,6 +291,19 @@ def dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         td.deliveries(spark, sf_dir), stateful.dedup_stream, spark, "dedup-stream").select(*READING)
 
 
+@_query
+def key_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``dedup_against_store``, but the stored keys are asked for through an index that four batches filled."""
+    deliveries, arrived = td.deliveries(spark, sf_dir), F.col("ingested_at")
+    stored = dedup.dedup_first_wins(deliveries.where(arrived < utc_literal(datetime(2024, 1, 16))))
+    index = KeyIndex(spark, scratch_dir(spark, "key-index"), IndexShape(slot_keys=256, bucket_slots=2, fanout=2))
+    for number in range(4):
+        part = stored.where(F.pmod(F.xxhash64("idempotency_key"), F.lit(4)) == number)
+        index.add(part.select("idempotency_key", F.to_date("recorded_at").alias("event_date")), number)
+        index.merge(number)
+    return dedup_against_index(deliveries.where(arrived >= utc_literal(datetime(2024, 1, 8))), index)
+
+
 @_query
 def duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_count(referential.known_device_readings(
@@ -380,14 +405,16 @@ def late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last metrics of each window that a stream emitted, from counts of the windows that are open."""
+    counts = WindowCounts(spark, scratch_dir(spark, "window-counts"), fanout=2)
+
     def begin(source: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-        return (stateful.stream_window_metrics(source).writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        return stateful.window_metrics_stream(source, counts, sink, checkpoint)
 
     emitted = _run_stream(td.readings(spark, sf_dir), begin, spark, "window-stream")
-    latest = emitted.groupBy(*windows.WINDOW_KEYS).agg(
-        F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest"))
-    return _rounded(latest.select(*windows.WINDOW_KEYS, "latest.*"))
+    last = emitted.groupBy("device_id", "metric_type", "window_start").agg(
+        F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("last"))
+    return _rounded(last.select("device_id", "metric_type", "window_start", "last.*"))
 
 
 # -- device registry ---------------------------------------------------------------------------------
@@ -449,6 +476,19 @@ def delete_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("id", "seq", "outcome")
 
 
+@_query
+def apply_device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after a batch that mixes registrations, patches and deletions of the same devices."""
+    return views.device_view(registry.apply_changes(
+        td.device_changes(spark, sf_dir), td.devices(spark, sf_dir), td.some_readings(spark, sf_dir), BATCH_TS))
+
+
+@_query
+def device_change_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.change_outcome(
+        td.device_changes(spark, sf_dir), td.devices(spark, sf_dir), td.some_readings(spark, sf_dir)).select("id", "seq", "kind", "outcome")
+
+
 # -- outcome and progress ----------------------------------------------------------------------------
 
 @_query
@@ -523,6 +563,40 @@ def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, _looking_up).outcomes().groupBy("outcome").agg(F.sum("rows").alias("rows"))
 
 
+@_query
+def stream_duplicate_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery that the stream rejected as a duplicate, with the stored reading of its key."""
+    return _ingested(spark, sf_dir, _looking_up).answers().drop("batch_id")
+
+
+@_query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, _looking_up).late().select(
+        "idempotency_key", "device_id", "metric_type", "window_start", "window_end", _late_us())
+
+
+@_query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per micro-batch of a stream that is started three times, from the table of its progress."""
+    listener = ProgressTable(spark, scratch_dir(spark, "progress"), ("progress",))
+    spark.streams.addListener(listener)
+    ended = []
+
+    def begin(source: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+        ended.append(source.writeStream.queryName("progress").foreachBatch(sink).option("checkpointLocation", checkpoint)
+                     .trigger(availableNow=True).start())
+        return ended[-1]
+
+    try:
+        _run_stream(td.deliveries(spark, sf_dir), begin, spark, "progress-stream")
+        for query in ended:
+            listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.rows().groupBy("batch_id").agg(
+        F.sum("input_rows").alias("input_rows"), F.min(F.col("rows_per_second") > 0).alias("has_rate"), F.min(F.col("backlog") != "{}").alias("has_backlog"))
+
+
 @_query
 def store_current_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored metrics of the minute that holds the latest accepted reading."""
@@ -531,6 +605,27 @@ def store_current_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(store.current_window(latest + timedelta(seconds=30)))
 
 
+@_query
+def stream_device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that a stream stores while devices register: each is judged by its device at its arrival."""
+    root = scratch_dir(spark, "live")
+    store = Store(spark, f"{root}/store").create()
+    store.write_devices(td.devices(spark, sf_dir))
+    changes = td.late_registrations(spark, sf_dir).withColumns({"_change": F.lit(True), "ingested_at": F.col("received_at")})
+    rows = td.messages(spark, sf_dir).withColumn("_change", F.lit(False)).unionByName(changes, allowMissingColumns=True)
+
+    def write(part: DataFrame) -> None:
+        part.where("not _change").select("topic", "payload", "ingested_at", "delivery_seq").write.mode("append").options(**files.JSON_TIMES).json(f"{root}/messages")
+        part.where("_change").select(*DEVICE_CHANGE.names).write.mode("append").parquet(f"{root}/changes")
+
+    def start() -> Iterable[StreamingQuery]:
+        source = decode.payload_decode(files.reading_messages(spark, f"{root}/messages", streaming=True))
+        return [start_live_ingest(source, spark.readStream.schema(DEVICE_CHANGE).parquet(f"{root}/changes"), store, f"{root}/checkpoint")]
+
+    _deliver(rows, write, start)
+    return store.readings().select(*READING)
+
+
 @_query
 def stateful_stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, _with_state).readings().select(*READING)

@@ -140,6 +140,58 @@ SELECT id, seq, CASE WHEN id NOT IN (SELECT id FROM devices) THEN 'DEVICE_NOT_FO
                      ELSE 'DEVICE_NOT_FOUND' END AS outcome
 FROM deletes"""
 
+DEVICE_CHANGES = """
+SELECT CASE WHEN k < 2 THEN 'REGISTER' WHEN k < 4 THEN 'PATCH' ELSE 'DELETE' END AS kind, 'dev-' || c_custkey AS id,
+       CASE WHEN (c_custkey + nth) % 11 <> 0 THEN 'name-' || nth END AS device_name,
+       CASE WHEN (c_custkey + nth) % 13 <> 0 THEN CASE WHEN k = 3 THEN 'CAMERA' WHEN k < 3 THEN 'SENSOR' END END AS device_type,
+       'site' AS site, 1.5::DOUBLE AS latitude, nth::DOUBLE AS longitude,
+       TIMESTAMP '2024-03-01 00:00:00' + to_seconds((c_custkey * 13 + nth * 29) % 60) AS received_at, c_custkey * 8 + nth AS seq
+FROM (SELECT c_custkey, nth, (c_custkey + nth * 5 + c_custkey // 7) % 5 AS k FROM customer, range(8) AS n(nth))"""
+
+CHANGE_OUTCOMES = """
+SELECT *, CASE kind WHEN 'REGISTER' THEN CASE WHEN bad THEN 'INVALID' WHEN there THEN 'DEVICE_ALREADY_EXISTS' ELSE 'REGISTERED' END
+               WHEN 'PATCH' THEN CASE WHEN device_name IS NULL AND device_type IS NULL THEN 'NO_FIELDS_TO_UPDATE'
+                                      WHEN NOT there THEN 'DEVICE_NOT_FOUND' ELSE 'UPDATED' END
+               ELSE CASE WHEN NOT there THEN 'DEVICE_NOT_FOUND' WHEN used THEN 'DEVICE_HAS_READINGS' ELSE 'DELETED' END END AS outcome
+FROM (SELECT *, coalesce(last_value(makes IGNORE NULLS) OVER (PARTITION BY id ORDER BY received_at, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                         id IN (SELECT id FROM devices)) AS there
+      FROM (SELECT *, CASE WHEN kind = 'REGISTER' AND NOT bad THEN TRUE WHEN kind = 'DELETE' AND NOT used THEN FALSE END AS makes
+            FROM (SELECT *, device_name IS NULL OR device_type IS NULL AS bad,
+                         id IN (SELECT device_id FROM readings WHERE event_id % 50 = 0) AS used FROM device_changes)))"""
+
+CHANGED = """
+SELECT d.id, last_value(e.device_name IGNORE NULLS) OVER w AS device_name, last_value(e.device_type IGNORE NULLS) OVER w AS device_type,
+       last_value(e.site IGNORE NULLS) OVER w AS site, last_value(e.latitude IGNORE NULLS) OVER w AS latitude,
+       last_value(e.longitude IGNORE NULLS) OVER w AS longitude,
+       last_value(e.created_at IGNORE NULLS) OVER w AS created_at, last_value(e.updated_at IGNORE NULLS) OVER w AS updated_at
+FROM (SELECT id, max(CASE WHEN outcome = 'REGISTERED' THEN moment END) AS made, max(CASE WHEN outcome = 'DELETED' THEN moment END) AS removed
+      FROM change_events GROUP BY id) d
+JOIN change_events e ON e.id = d.id AND (made IS NULL OR e.moment >= made) AND outcome IN ('HELD', 'REGISTERED', 'UPDATED')
+WHERE (removed IS NULL OR removed < made)
+WINDOW w AS (PARTITION BY d.id ORDER BY e.moment ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+QUALIFY row_number() OVER (PARTITION BY d.id ORDER BY e.moment) = 1"""
+
+CHANGE_EVENTS = """
+SELECT id, device_name, device_type, site, latitude, longitude, created_at, updated_at, 'HELD' AS outcome, TIMESTAMP '2000-01-01' AS moment FROM devices
+UNION ALL
+SELECT id, device_name, device_type, CASE WHEN outcome = 'REGISTERED' THEN site END, CASE WHEN outcome = 'REGISTERED' THEN latitude END,
+       CASE WHEN outcome = 'REGISTERED' THEN longitude END, CASE WHEN outcome = 'REGISTERED' THEN TIMESTAMP '2024-02-02 00:00:00' END,
+       TIMESTAMP '2024-02-02 00:00:00', outcome, received_at + to_microseconds(seq % 8) AS moment
+FROM change_outcomes WHERE outcome IN ('REGISTERED', 'UPDATED', 'DELETED')"""
+
+LATE_KNOWN = """
+SELECT 'dev-' || c_custkey AS id, TIMESTAMP '2024-01-02 00:00:00' + to_seconds(least((c_custkey * 7919) % 2000000,
+           CASE WHEN c_custkey % 20 = 13 THEN (c_custkey * 7919 + 100000) % 2000000 ELSE 2000000 END)) AS since
+FROM customer WHERE c_custkey % 10 = 3
+UNION ALL SELECT id, TIMESTAMP '2000-01-01' FROM known"""
+
+SUBSCRIPTIONS = """
+SELECT n_name AS subscription, unnest(CASE n_nationkey % 6
+    WHEN 0 THEN ['devices/+/readings', 'devices/dev-' || n_nationkey || '/#'] WHEN 1 THEN ['devices/dev-' || n_nationkey || '/#']
+    WHEN 2 THEN ['+/+/a/+', 'devices/#/x'] WHEN 3 THEN ['devices/+/+/#'] WHEN 4 THEN ['devices/dev-' || n_nationkey || '/readings', 'dev+/#']
+    ELSE ['+', 'devices//readings'] END) AS topic_filter
+FROM nation"""
+
 # Columns of a stage's input: spoiled, invalid, recorded time after the default.
 OUTCOMES = """
 SELECT *, CASE WHEN spoiled THEN 'DECODE_ERROR' WHEN invalid THEN 'INVALID'
@@ -260,6 +312,12 @@ def oracle_sql() -> dict[str, str]:
         "topic_match": _with(
             r"SELECT topic, delivery_seq FROM stray"
             r" WHERE regexp_full_match(topic, 'devices/[^/]*/readings')"),
+        "subscription_match": _with("""
+            SELECT DISTINCT subscription, topic, delivery_seq
+            FROM stray JOIN subscriptions ON regexp_full_match(topic, '(?s)' || CASE
+                WHEN topic_filter = '+' THEN '[^/]*'
+                ELSE replace(replace(topic_filter, '+', '[^/]*'), '/#', '(/.*)?') END)
+            WHERE topic <> '' AND topic_filter NOT IN ('devices/#/x', 'dev+/#')""", subscriptions=SUBSCRIPTIONS),
         "topic_device_id": _with("SELECT topic, delivery_seq, level AS device_id FROM stray"),
         "payload_decode": _with("""
             SELECT 'devices/' || device_id || '/readings' AS topic, device_id,
@@ -323,6 +381,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE ingested_at >= TIMESTAMP '2024-01-08' AND idempotency_key NOT IN (
                 SELECT idempotency_key FROM deliveries WHERE ingested_at < TIMESTAMP '2024-01-16')
             QUALIFY row_number() OVER (PARTITION BY idempotency_key ORDER BY ingested_at, delivery_seq) = 1"""),
+        "key_index_dedup": _with(f"""
+            SELECT {COLUMNS} FROM deliveries
+            WHERE ingested_at >= TIMESTAMP '2024-01-08' AND idempotency_key NOT IN (
+                SELECT idempotency_key FROM deliveries WHERE ingested_at < TIMESTAMP '2024-01-16')
+            QUALIFY row_number() OVER (PARTITION BY idempotency_key ORDER BY ingested_at, delivery_seq) = 1"""),
         "dedup_stream": _with(f"SELECT {COLUMNS} FROM first_rows"),
         "duplicate_count": _with("""
             SELECT count(*) - count(DISTINCT idempotency_key) AS duplicate_count
@@ -406,6 +469,15 @@ def oracle_sql() -> dict[str, str]:
             WHERE id NOT IN (SELECT id FROM deletions WHERE outcome = 'DELETED')"""),
         "delete_outcome": _with("SELECT id, seq, outcome FROM deletions"),
 
+        "device_change_outcome": _with(
+            "SELECT id, seq, kind, outcome FROM change_outcomes", device_changes=DEVICE_CHANGES, change_outcomes=CHANGE_OUTCOMES),
+        "apply_device_changes": _with(
+            f"SELECT {DEVICE_VIEW} FROM changed", device_changes=DEVICE_CHANGES, change_outcomes=CHANGE_OUTCOMES, change_events=CHANGE_EVENTS, changed=CHANGED),
+        "stream_device_changes": _with(f"""
+            SELECT {COLUMNS} FROM staged JOIN late_known ON device_id = id AND since <= ingested_at WHERE NOT spoiled
+            QUALIFY row_number() OVER (PARTITION BY idempotency_key ORDER BY ingested_at, delivery_seq) = 1""",
+                                       staged=STAGED_MESSAGES, late_known=LATE_KNOWN),
+
         "ingest_outcome": _outcomes(STAGED, "SELECT delivery_seq, idempotency_key, outcome FROM outcomes"),
         "ingest_outcome_messages": _outcomes(
             STAGED_MESSAGES, "SELECT delivery_seq, idempotency_key, outcome FROM outcomes"),
@@ -416,6 +488,21 @@ def oracle_sql() -> dict[str, str]:
         "reading_counts": _with(
             "SELECT device_id, count(*) AS reading_count FROM stored GROUP BY device_id"),
 
+        "stream_duplicate_answers": _outcomes(STAGED_MESSAGES, """
+            SELECT d.idempotency_key, d.ingested_at, d.delivery_seq, s.device_id AS stored_device_id,
+                   s.metric_type AS stored_metric_type, s.value AS stored_value,
+                   s.recorded_at AS stored_recorded_at, s.ingested_at AS stored_ingested_at,
+                   s.delivery_seq AS stored_delivery_seq
+            FROM outcomes d JOIN outcomes s ON d.idempotency_key = s.idempotency_key
+            WHERE d.outcome = 'DUPLICATE' AND s.outcome IN ('ACCEPTED', 'ACCEPTED_LATE', 'DROPPED_LATE')"""),
+        "stream_late_rows": _outcomes(STAGED_MESSAGES, """
+            SELECT idempotency_key, device_id, metric_type, date_trunc('minute', recorded_at) AS window_start, closes AS window_end,
+                   date_diff('microsecond', closes, ingested_at) AS late_us
+            FROM outcomes WHERE outcome = 'DROPPED_LATE'"""),
+        "stream_progress": _with("""
+            SELECT CASE WHEN ingested_at < TIMESTAMP '2024-01-11' THEN 0 WHEN ingested_at < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch_id,
+                   count(*) AS input_rows, TRUE AS has_rate, TRUE AS has_backlog
+            FROM deliveries GROUP BY 1"""),
         "stream_readings": stream_readings,
         "stream_metrics": stream_metrics,
         "store_current_window": _outcomes(

@@ -54,6 +54,9 @@ DEVICE_PATCH = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
+# One change of a device; kind says which fields count.
+DEVICE_CHANGE = T.StructType([T.StructField("kind", T.StringType()), *DEVICE_REQUEST.fields])
+
 LOCATION = T.StructType([
     T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()),

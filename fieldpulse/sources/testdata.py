@@ -185,3 +185,44 @@ def device_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("received_at"),
         (key * 2 + F.col("nth")).alias("seq"),
     )
+
+
+def device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight changes per customer, of all kinds, in an order of their own; rows of schemas.DEVICE_CHANGE."""
+    key, nth = F.col("c_custkey"), F.col("nth")
+    kind = (key + nth * 5 + F.expr("c_custkey div 7")) % 5
+    return table(spark, sf_dir, "customer").withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
+        F.when(kind < 2, "REGISTER").when(kind < 4, "PATCH").otherwise("DELETE").alias("kind"),
+        F.concat(F.lit("dev-"), key).alias("id"),
+        F.when((key + nth) % 11 != 0, F.concat(F.lit("name-"), nth)).alias("device_name"),
+        F.when((key + nth) % 13 != 0, F.when(kind == 3, "CAMERA").when(kind < 3, "SENSOR")).alias("device_type"),
+        F.lit("site").alias("site"), F.lit(1.5).alias("latitude"), nth.cast("double").alias("longitude"),
+        (F.lit("2024-03-01 00:00:00").cast("timestamp_ntz") + _seconds((key * 13 + nth * 29) % 60)).alias("received_at"),
+        (key * 8 + nth).cast("long").alias("seq"))
+
+
+def some_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth reading."""
+    return readings(spark, sf_dir).where(_event_id() % 50 == 0)
+
+
+def late_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers that the device table leaves out register one after the other, and half of them twice; rows of schemas.DEVICE_CHANGE."""
+    key, nth = F.col("c_custkey"), F.col("nth")
+    rows = table(spark, sf_dir, "customer").where(key % 10 == UNKNOWN_DEVICE)
+    return rows.withColumn("nth", F.explode(F.sequence(F.lit(0), F.expr("cast(c_custkey % 20 = 13 as int)")))).select(
+        F.lit("REGISTER").alias("kind"), F.concat(F.lit("dev-"), key).alias("id"), F.concat(F.lit("late-"), nth).alias("device_name"),
+        F.lit("SENSOR").alias("device_type"), F.lit("site").alias("site"), F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"),
+        (F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + _seconds((key * 7919 + nth * 100_000) % 2_000_000)).alias("received_at"),
+        (key * 2 + nth).cast("long").alias("seq"))
+
+
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters of all kinds, one or two per nation; some overlap and some are not valid."""
+    key = F.col("n_nationkey")
+    device = F.concat(F.lit("devices/dev-"), key)
+    kind = (F.when(key % 6 == 0, F.array(F.lit("devices/+/readings"), F.concat(device, F.lit("/#"))))
+            .when(key % 6 == 1, F.array(F.concat(device, F.lit("/#")))).when(key % 6 == 2, F.array(F.lit("+/+/a/+"), F.lit("devices/#/x")))
+            .when(key % 6 == 3, F.array(F.lit("devices/+/+/#"))).when(key % 6 == 4, F.array(F.concat(device, F.lit("/readings")), F.lit("dev+/#")))
+            .otherwise(F.array(F.lit("+"), F.lit("devices//readings"))))
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("subscription"), F.explode(kind).alias("topic_filter"))

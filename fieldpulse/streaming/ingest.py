@@ -1,33 +1,36 @@
-"""The ingest stream: deliveries in, stored readings, rejects, outcome counts and window metrics out.
+"""The ingest stream: deliveries in, stored readings, rejects, outcome counts, late rows, answers and window metrics out.
 
 ``start_ingest`` runs the batch operators on each micro-batch and then writes. The device table is loaded per
-batch, so newly registered devices count, and dedup looks at the stored keys: it reads the key column of the
-whole store per micro-batch, which suits large micro-batches.
+batch, so newly registered devices count. Dedup asks the store's key index, which reads a few files per micro-batch however large the store
+is; it also says where the stored reading of a duplicate lies, so that every duplicate is answered with it. Window metrics come from the
+counts of open windows that the store keeps, not from the readings.
 
-``start_stateful_ingest`` remembers the keys in the stream's state instead, so a micro-batch costs work for
-its own rows only, however large the store. Its device table is the one current at the start; a batch that a dead run
-left open is first run again with the table of that run.
+``start_stateful_ingest`` remembers the keys in the stream's state instead. Its device table is the one current at the start; a batch that a
+dead run left open is first run again with the table of that run. It writes no answers.
 
 Either way the first delivery of a key wins for all time, and only the windows that a batch touched are
-computed again, from the stored readings, as p95 values cannot be merged.
+computed again; the stateful stream reads their stored readings for that. Fill a store in one of the two ways only.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
+from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.functions.times import utc_literal
-from fieldpulse.operators.dedup import KEY, MAX_BROADCAST_BYTES, few_bytes, seen_keys
+from fieldpulse.operators.dedup import KEY, MAX_BROADCAST_BYTES, answer_duplicates, few_bytes
 from fieldpulse.operators.outcome import (
-    check_deliveries, label_outcomes, outcome_counts, rejected_rows, stored_rows,
+    DROPPED_LATE, DUPLICATE, check_deliveries, counted_rows, label_outcomes, outcome_counts, rejected_rows, stored_rows,
 )
 from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
 )
+from fieldpulse.schemas import DEVICE_CHANGE, READING
 from fieldpulse.streaming.progress import last_commit
 from fieldpulse.streaming.stateful import with_new_keys
 from fieldpulse.streaming.store import Store
@@ -37,37 +40,89 @@ DEVICE_SALTS = 16
 
 
 def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
-                 policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups()) -> None:
+                 policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups(), devices: DataFrame | None = None) -> None:
     """One batch, start to end. Running it again with the same id and rows changes nothing.
 
-    ``deliveries`` holds the request columns and ``decode_error``.
+    ``deliveries`` holds the request columns and ``decode_error``. ``devices`` is the store's table unless given.
     """
-    devices = store.devices(store.devices_version(batch_id))
-    # The batch's own rows, written before a failure, are not earlier deliveries.
-    earlier = store.readings().where(F.col("batch_id") != batch_id)
-
+    devices = store.devices(store.devices_version(batch_id)) if devices is None else devices
+    index = store.key_index
+    if not index.runs.live():  # a store filled before it had an index
+        earlier = store.readings().where(F.col("batch_id") != batch_id)
+        index.build(earlier)
+        store.window_counts(policy).build(drop_too_late(earlier, policy))
     checked = check_deliveries(deliveries, devices).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        seen = seen_keys(checked.where("storable"), earlier)
-        _write_labelled(label_outcomes(checked, seen, policy), batch_id, store, policy, hot)
+        seen = index.seen(checked.where("storable"), batch_id)
+        _write_labelled(label_outcomes(checked, seen.select(KEY), policy), batch_id, store, policy, hot, seen)
     finally:
         checked.unpersist()
+    index.merge(batch_id)
+    store.window_counts(policy).merge(batch_id)
 
 
 def _write_labelled(labelled: DataFrame, batch_id: int, store: Store, policy: WindowPolicy,
-                    hot: HotGroups) -> None:
-    # Labels serve several writes; blocks of a lost executor are computed again. The readings come
+                    hot: HotGroups, seen: DataFrame | None = None) -> None:
+    """Writes all tables of a batch. ``seen`` holds the keys stored before, with the place of their reading, if the key index is in use."""
+    # Labels serve several writes; blocks of a lost executor are computed again. Without an index the readings come
     # last, as writing to a table drops cached rows that were derived from it.
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store.write_rejects(rejected_rows(labelled), batch_id)
-        store.write_outcomes(outcome_counts(labelled), batch_id)
-        store.write_readings(stored_rows(labelled), batch_id)
+        store.write_outcomes(outcome_counts(labelled), batch_id)  # reads all rows, so the others find them cached
+        stored = stored_rows(labelled)
+        writes = [lambda: store.write_rejects(rejected_rows(labelled), batch_id),
+                  lambda: store.write_late(labelled.where(F.col("outcome") == DROPPED_LATE), batch_id)]
+        if seen is not None:
+            writes += [lambda: store.write_answers(_answers(labelled, seen, store, hot), batch_id),
+                       lambda: store.key_index.add(stored.select(KEY, F.to_date("recorded_at").alias("event_date")), batch_id),
+                       lambda: _write_counted(labelled, batch_id, store, policy, hot),
+                       lambda: store.write_readings(stored, batch_id)]
+        _side_by_side(writes)
+        if seen is None:
+            store.write_readings(stored, batch_id)
+            touched = touched_metrics(store, batch_id, policy, hot)
+            if touched is not None:
+                store.write_metrics(touched, batch_id)
     finally:
         labelled.unpersist()
-    touched = touched_metrics(store, batch_id, policy, hot)
-    if touched is not None:
-        store.write_metrics(touched, batch_id)
+    store.metric_runs.merge(batch_id)
+
+
+def _write_counted(labelled: DataFrame, batch_id: int, store: Store, policy: WindowPolicy, hot: HotGroups) -> None:
+    """The counts of the batch and the metrics of its windows. Windows that had ended are answered from the readings of earlier batches and this one."""
+    counts, counted = store.window_counts(policy), counted_rows(labelled)
+    rows = counts.add(counted, batch_id)
+    if rows:
+        earlier = drop_too_late(store.readings().where(F.col("batch_id") != batch_id), policy)
+        own = counted.withColumns({"event_date": F.to_date("recorded_at"), "batch_id": F.lit(batch_id).cast("long")}).select(*earlier.columns)
+        windows = counted.select(*WINDOW_KEYS).distinct()
+        # Ids of stored rows have a bounded length, so few rows have few bytes.
+        store.write_metrics(counts.touched(windows, batch_id, earlier.unionByName(own), hot, few=rows <= MAX_BROADCAST_BYTES // 512), batch_id)
+
+
+def _answers(labelled: DataFrame, seen: DataFrame, store: Store, hot: HotGroups) -> DataFrame:
+    """The batch's duplicates with the reading stored for their key, by this batch or an earlier one."""
+    earlier = store.readings_at(seen).select(*READING.names).join(seen.select(KEY), KEY, "left_semi")
+    own = stored_rows(labelled).select(*READING.names)
+    return answer_duplicates(labelled.where(F.col("outcome") == DUPLICATE), own.unionByName(earlier), hot=hot)
+
+
+def _side_by_side(writes: list[Callable[[], None]]) -> None:
+    """Runs the writes of a batch at the same time, as each is a few small jobs; the first failure is raised when all have ended."""
+    failures: list[Exception] = []
+
+    def run(write: Callable[[], None]) -> None:
+        try:
+            write()
+        except Exception as failure:  # raised below, in the batch's own thread
+            failures.append(failure)
+    threads = [InheritableThread(target=run, args=(write,)) for write in writes]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if failures:
+        raise failures[0]
 
 
 def touched_metrics(store: Store, batch_id: int, policy: WindowPolicy = DEFAULT_POLICY,
@@ -126,3 +181,22 @@ def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
 
     return (both.writeStream.outputMode("append").foreachBatch(store_batch)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def start_live_ingest(deliveries: DataFrame, changes: DataFrame, store: Store, checkpoint: str,
+                      policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups = HotGroups(), **trigger) -> StreamingQuery:
+    """Starts one stream over deliveries and device changes (schemas.DEVICE_CHANGE), both read by the same micro-batches.
+
+    A micro-batch applies its changes first and then judges each reading by its device at the time of arrival, so a device that
+    registers while the stream runs is known from that time on, whichever of the two rows was read first within the batch. A change that is read by
+    a later batch than a reading does not change what became of the reading.
+    """
+    both = deliveries.select(F.struct(*deliveries.columns).alias("delivery")).unionByName(
+        changes.select(F.struct(*DEVICE_CHANGE.names).alias("change")), allowMissingColumns=True)
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        staged = store.staged(rows, batch_id)
+        known = store.apply_changes(staged.where("change is not null").select("change.*"), batch_id)
+        ingest_batch(staged.where("delivery is not null").select("delivery.*"), batch_id, store, policy, hot, known)
+
+    return (both.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

@@ -12,6 +12,7 @@ from fieldpulse.operators.dedup import ARRIVAL, KEY, content
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, late_counters, lateness_class,
 )
+from fieldpulse.streaming.window_counts import WindowCounts
 
 
 def new_keys(deliveries: DataFrame, key: str = KEY) -> DataFrame:
@@ -54,12 +55,25 @@ def dedup_stream_within(deliveries: DataFrame, horizon: str, key: str = KEY) ->
     return arrival.withWatermark("_arrival", horizon).dropDuplicatesWithinWatermark([key]).drop("_arrival")
 
 
-def stream_window_metrics(readings: DataFrame, policy: WindowPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Window metrics of a deduplicated stream; write it in update mode, the last row of a window counts."""
-    return drop_too_late(readings, policy).groupBy(*WINDOW_KEYS).agg(
-        F.avg("value").alias("average"),
-        F.expr("percentile_disc(0.95D) WITHIN GROUP (ORDER BY value)").alias("p95"),
-        F.count(F.lit(1)).alias("count"))
+def window_metrics_stream(readings: DataFrame, counts: WindowCounts, write: Callable[[DataFrame, int], None], checkpoint: str,
+                          **trigger) -> StreamingQuery:
+    """Starts a stream over deduplicated readings that hands the metrics of the windows each batch touched to ``write(metrics, batch_id)``.
+
+    Windows end, so what is kept has a bound: the counts of the windows of about the last ``counts.horizon``. The metrics of a window that has ended
+    stand; a reading of it that arrived within its grace period, but is read so much later than its neighbours, is left out here. The ingest
+    stream, which has the readings, counts it.
+    """
+    def run(rows: DataFrame, batch_id: int) -> None:
+        counted = drop_too_late(rows, counts.policy).persist()
+        try:
+            counts.add(counted, batch_id)
+            write(counts.touched(counted.select(*WINDOW_KEYS).distinct(), batch_id), batch_id)
+        finally:
+            counted.unpersist()
+        counts.merge(batch_id)
+
+    return (readings.writeStream.outputMode("append").foreachBatch(run)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
 def observe_late(readings: DataFrame, name: str = "late",

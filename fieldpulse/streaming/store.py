@@ -2,7 +2,7 @@
 
 Rows carry the ``batch_id`` of the micro-batch that wrote them, and a batch is written with dynamic
 partition overwrite, so a replayed batch replaces itself. Whole-table rewrites (devices, compaction) go to a
-new numbered folder; a row appended to a log then makes that folder the current one.
+new numbered folder; a small file in a log folder then makes that folder the current one.
 """
 
 from __future__ import annotations
@@ -14,14 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldpulse.functions.times import floor_to, utc_literal
-from fieldpulse.operators.windows import DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy
-from fieldpulse.schemas import DEVICE, READING, WINDOW_METRICS
+from fieldpulse.functions.files import delete_folder, read_notes, write_note
+from fieldpulse.functions.times import floor_to
+from fieldpulse.operators.windows import DEFAULT_POLICY, WindowPolicy
+from fieldpulse.operators.referential import existence
+from fieldpulse.operators.registry import DELETED, REGISTERED, change_outcome, changed_devices, merged_devices
+from fieldpulse.schemas import DEVICE, DEVICE_CHANGE, READING
+from fieldpulse.streaming.key_index import KeyIndex
+from fieldpulse.streaming.metric_runs import MetricRuns
+from fieldpulse.streaming.window_counts import WindowCounts
 
 _BATCH = T.StructField("batch_id", T.LongType())
 _DATE = T.StructField("event_date", T.DateType())
-_VERSION_LOG = T.StructType([T.StructField("version", T.LongType())])
-_BATCH_LOG = T.StructType([T.StructField("devices_version", T.LongType()), _BATCH])
 _STORED = T.StructType([*READING.fields, _DATE, _BATCH])
 _REJECTED = T.StructType([
     *READING.fields,
@@ -32,7 +36,18 @@ _REJECTED = T.StructType([
 ])
 _OUTCOMES = T.StructType([
     T.StructField("outcome", T.StringType()), T.StructField("rows", T.LongType()), _BATCH])
-_METRICS = T.StructType([*WINDOW_METRICS.fields, T.StructField("window_date", T.DateType()), _BATCH])
+_LATE = T.StructType([
+    *[READING[name] for name in ("idempotency_key", "device_id", "metric_type")],
+    T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+    T.StructField("late_by", T.DayTimeIntervalType()), _BATCH])
+_ANSWERS = T.StructType([
+    *[READING[name] for name in ("idempotency_key", "ingested_at", "delivery_seq")],
+    *[T.StructField(f"stored_{field.name}", field.dataType) for field in READING.fields if field.name != "idempotency_key"], _BATCH])
+_DELTAS = T.StructType([*DEVICE.fields, T.StructField("deleted", T.BooleanType()), T.StructField("base_version", T.LongType()), _BATCH])
+_STATES = T.StructType([
+    *[DEVICE_CHANGE[name] for name in ("id", "received_at", "seq")], T.StructField("there", T.BooleanType()),
+    T.StructField("base_version", T.LongType()), _BATCH])
+_CHANGES = T.StructType([*DEVICE_CHANGE.fields, T.StructField("outcome", T.StringType()), _BATCH])
 
 COMPACTED = -1  # batch_id of rows whose own batch no replay can name any more
 
@@ -49,10 +64,11 @@ class Store:
             (self._readings_path(0), _STORED, ("event_date", "batch_id")),
             (self._path("rejects"), _REJECTED, by_batch),
             (self._path("outcomes"), _OUTCOMES, by_batch),
-            (self._path("metrics"), _METRICS, ("window_date", "batch_id")),
-            (self._path("batch_log"), _BATCH_LOG, by_batch),
-            (self._path("readings_log"), _VERSION_LOG, ()),
-            (self._path("devices_log"), _VERSION_LOG, ()),
+            (self._path("late"), _LATE, by_batch),
+            (self._path("answers"), _ANSWERS, by_batch),
+            (self._path("device_deltas"), _DELTAS, ("base_version", "batch_id")),
+            (self._path("device_states"), _STATES, ("base_version", "batch_id")),
+            (self._path("device_changes"), _CHANGES, by_batch),
         ):
             empty = self.spark.createDataFrame([], schema)
             empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
@@ -63,6 +79,20 @@ class Store:
     def readings(self) -> DataFrame:
         return self.spark.read.schema(_STORED).parquet(self._readings_path(self._current("readings_log")))
 
+    def readings_at(self, places: DataFrame) -> DataFrame:
+        """Readings of the days and batches named in ``places(event_date, batch_id)``, and compacted ones of those days; other folders are not read.
+        The driver gets as many names as there are folders to read."""
+        held = places.select("event_date", "batch_id").distinct().collect()
+        days, batches = {row.event_date for row in held}, {row.batch_id for row in held}
+        return self.readings().where(F.col("event_date").isin(*days) & F.col("batch_id").isin(COMPACTED, *batches))
+
+    @property
+    def key_index(self) -> KeyIndex:
+        return KeyIndex(self.spark, self._path("key_index"))
+
+    def window_counts(self, policy: WindowPolicy = DEFAULT_POLICY) -> WindowCounts:
+        return WindowCounts(self.spark, self._path("window_counts"), policy)
+
     def write_readings(self, rows: DataFrame, batch_id: int) -> None:
         """Stores the rows of one batch."""
         dated = rows.select(*READING.names).withColumns(
@@ -72,7 +102,7 @@ class Store:
     def compact_readings(self) -> None:
         """Rewrites all batches but the last, which may still be replayed, into few files per day.
 
-        Run it while the stream is stopped. The new table becomes current by its log row alone.
+        Run it while the stream is stopped. The new table becomes current by its log file alone.
         """
         version = self._current("readings_log")
         rows = self.readings()
@@ -89,9 +119,9 @@ class Store:
         evened = rows.hint("rebalance", "event_date").sortWithinPartitions(*order)
         _overwrite(evened, self._readings_path(version), "event_date", "batch_id", replaced=replaced)
 
-    def staged(self, rows: DataFrame, batch_id: int) -> DataFrame:
+    def staged(self, rows: DataFrame, batch_id: int, table: str = "staging") -> DataFrame:
         """Rows of one batch, written to the store's own scratch table and read back; the next but one replaces them."""
-        path = f"{self._path('staging')}/{batch_id % 2}"
+        path = f"{self._path(table)}/{batch_id % 2}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -109,26 +139,38 @@ class Store:
     def write_outcomes(self, counts: DataFrame, batch_id: int) -> None:
         self._write_batch(counts, "outcomes", batch_id)
 
+    def late(self) -> DataFrame:
+        """Stored readings that arrived too late for their window."""
+        return self._table("late", _LATE)
+
+    def write_late(self, rows: DataFrame, batch_id: int) -> None:
+        self._write_batch(rows.select(*_LATE.names[:-1]), "late", batch_id)
+
+    def answers(self) -> DataFrame:
+        """Every duplicate with the stored reading of its key."""
+        return self._table("answers", _ANSWERS)
+
+    def write_answers(self, rows: DataFrame, batch_id: int) -> None:
+        self._write_batch(rows.select(*_ANSWERS.names[:-1]), "answers", batch_id)
+
+    @property
+    def metric_runs(self) -> MetricRuns:
+        return MetricRuns(self.spark, self._path("metrics"))
+
     def write_metrics(self, metrics: DataFrame, batch_id: int) -> None:
-        dated = metrics.select(*WINDOW_METRICS.names, F.to_date("window_start").alias("window_date"))
-        self._write_batch(dated, "metrics", batch_id, "window_date")
+        self.metric_runs.add(metrics, batch_id)
 
     def metrics(self) -> DataFrame:
         """The latest metrics of each window; a later batch that touched a window replaces its row."""
-        return _latest(self._table("metrics", _METRICS))
+        return self.metric_runs.latest()
 
     def current_window(self, as_of: datetime, device_id: str | None = None, metric_type: str | None = None,
                        policy: WindowPolicy = DEFAULT_POLICY) -> DataFrame:
         """Stored metrics of the window that holds ``as_of`` (UTC), of one device or metric if given.
 
-        A group without data has no row. Reads the folder of one day, and there the row groups of the asked rows.
+        A group without data has no row. Reads the files whose range of windows and devices has the asked ones, one per run.
         """
-        start = floor_to(as_of, policy.bin)
-        rows = self._table("metrics", _METRICS).where(
-            (F.col("window_date") == F.lit(start.date())) & (F.col("window_start") == utc_literal(start)))
-        for name, wanted in (("device_id", device_id), ("metric_type", metric_type)):
-            rows = rows if wanted is None else rows.where(F.col(name) == wanted)
-        return _latest(rows)
+        return self.metric_runs.at(floor_to(as_of, policy.bin), device_id, metric_type)
 
     # -- devices ----------------------------------------------------------------------------------
 
@@ -146,19 +188,58 @@ class Store:
         self._log("devices_log", version)
         return version
 
+    def devices_after(self, version: int, batch_id: int) -> DataFrame:
+        """A snapshot with the changes that batches up to ``batch_id`` made to it: the latest row of each changed device."""
+        deltas = self._table("device_deltas", _DELTAS).where((F.col("base_version") == version) & (F.col("batch_id") <= batch_id))
+        fields = [*DEVICE.names, "deleted"]
+        latest = deltas.groupBy("id").agg(F.max_by(F.struct(*fields[1:]), "batch_id").alias("_row")).select("id", "_row.*")
+        return merged_devices(self.devices(version), latest)
+
+    def apply_changes(self, changes: DataFrame, batch_id: int) -> DataFrame:
+        """Applies one batch of mixed device changes and returns, per device id, when it was there (``referential.existence``).
+
+        Writes the rows that changed and not the table; ``fold_devices`` makes a new snapshot of both. The batch's time is that of its last
+        change, and devices with readings are those that earlier batches stored, so a batch that is run again gives the same rows.
+        """
+        version = self.devices_version(batch_id)
+        held = self.devices_after(version, batch_id - 1)
+        last = changes.agg(F.max("received_at")).first()[0]
+        if last is not None:
+            readings = self.readings().where(F.col("batch_id") < batch_id)
+            judged = self.staged(change_outcome(changes, held, readings), batch_id, "staging_changes")
+            self._write_batch(judged, "device_changes", batch_id)
+            numbered = changed_devices(judged, held, last).withColumn("base_version", F.lit(version).cast("long"))
+            self._write_batch(numbered, "device_deltas", batch_id, "base_version")
+            states = judged.where(F.col("outcome").isin(REGISTERED, DELETED)).select(
+                "id", "received_at", "seq", (F.col("outcome") == REGISTERED).alias("there"), F.lit(version).cast("long").alias("base_version"))
+            self._write_batch(states, "device_states", batch_id, "base_version")
+        states = self._table("device_states", _STATES).where((F.col("base_version") == version) & (F.col("batch_id") <= batch_id))
+        return existence(self.devices(version), states)
+
+    def device_changes(self) -> DataFrame:
+        """All change rows with their outcome."""
+        return self._table("device_changes", _CHANGES)
+
+    def fold_devices(self) -> int:
+        """Makes the current snapshot and its changes the next snapshot. Run it while no stream applies changes; later readings are judged by it."""
+        version = self._current("devices_log")
+        return self.write_devices(self.devices_after(version, 1 << 62))
+
     def version_after(self, committed: int) -> int:
         """The version for batches past the last ``committed`` one: that of a batch left open, else the current one."""
-        noted = self._table("batch_log", _BATCH_LOG).where(F.col("batch_id") > committed).agg(F.min("devices_version")).first()[0]
-        return self._current("devices_log") if noted is None else noted
+        noted = [int(version) for batch, version in self._notes("batch_log").items() if batch > committed]
+        return min(noted, default=self._current("devices_log"))
 
     def devices_version(self, batch_id: int, version: int | None = None) -> int:
         """The version a batch uses, by default the current one: a replay gets the one of its first run."""
-        noted = self._table("batch_log", _BATCH_LOG).where(F.col("batch_id") == batch_id).first()
-        if noted:
-            return noted["devices_version"]
+        noted = self._notes("batch_log")
+        if batch_id in noted:
+            return int(noted[batch_id])
         version = self._current("devices_log") if version is None else version
-        row = self.spark.createDataFrame([(version,)], "devices_version long")
-        self._write_batch(row, "batch_log", batch_id)
+        write_note(self.spark, f"{self._path('batch_log')}/{batch_id}.json", str(version))
+        for old in noted:
+            if old < batch_id - 1:  # past being run again
+                delete_folder(self.spark, f"{self._path('batch_log')}/{old}.json")
         return version
 
     # -- paths and logs ---------------------------------------------------------------------------
@@ -179,17 +260,15 @@ class Store:
         numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
         _overwrite(numbered, self._path(table), *partitions, "batch_id")
 
+    def _notes(self, log: str) -> dict[int, str]:
+        return {int(name): note for name, note in read_notes(self.spark, self._path(log), ".json").items()}
+
     def _current(self, log: str) -> int:
-        return self._table(log, _VERSION_LOG).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return max(self._notes(log), default=0)
 
     def _log(self, log: str, version: int) -> None:
-        self.spark.createDataFrame([(version,)], _VERSION_LOG).coalesce(1).write.mode("append").parquet(
-            self._path(log))
-
-
-def _latest(metrics: DataFrame) -> DataFrame:
-    latest = F.max_by(F.struct("average", "p95", "count"), "batch_id").alias("latest")
-    return metrics.groupBy(*WINDOW_KEYS).agg(latest).select(*WINDOW_KEYS, "latest.*")
+        """Makes a version the current one."""
+        write_note(self.spark, f"{self._path(log)}/{version}.json", "")
 
 
 def _overwrite(rows: DataFrame, path: str, *partitions: str, replaced: str = "dynamic") -> None:
