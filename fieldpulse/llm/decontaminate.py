@@ -1,12 +1,13 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-A task reads its documents as shards of some million words. Words become symbols of the benchmark's vocabulary and
+A task reads its documents as shards of some hundred thousand words. Words become symbols of the benchmark's vocabulary and
 each run of other words one separator, which no test phrase holds, so no occurrence is lost. The shard is
 indexed, every distinct window of the benchmark is searched backwards through the wavelet ranks, occurrences are
 located through sampled suffix positions, and the words they cover are merged into removal spans.
 
-The benchmark is handed to the tasks in blocks of at most ``Windows.block_bytes`` of text; a larger benchmark takes
-one pass over the documents per block, each pass adding its spans to the rows.
+The benchmark is handed to the tasks in blocks of about ``Windows.block_words`` words. A block holds the words of its items once, as numbers, and
+every distinct window as a place in them, some 40 bytes a word in all. A larger benchmark takes one pass over the documents per block, each
+adding its spans to the rows, which are written in between.
 """
 
 from __future__ import annotations
@@ -20,26 +21,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.fm_index import FMIndex
-from fieldpulse.llm.tables import ship
-from fieldpulse.llm.words import Slice, Words, slices, words
+from fieldpulse.llm.tables import ship, stored
+from fieldpulse.llm.words import Slice, Words, shingles, slices, words
 
 SEPARATOR = 1
-SHARD_WORDS = 1 << 20
-MAX_SYMBOLS = 1 << 21
+SHARD_WORDS = 1 << 18
+MAX_SYMBOLS = 1 << 19
 
 
 @dataclass(frozen=True)
 class Windows:
     """A window is ``size`` consecutive words of an item; an item of fewer words, but not none, is one window."""
     size: int = 10
-    block_bytes: int = 32 << 20
+    block_words: int = 1 << 21
 
 
 @dataclass
 class Phrases:
-    """The distinct windows of a benchmark block as rows of symbols, and the items that hold each."""
+    """A benchmark block: its words as symbols, the distinct windows as places in them, and the items that hold each."""
     vocabulary: np.ndarray
-    patterns: np.ndarray
+    symbols: np.ndarray
+    starts: np.ndarray
     lengths: np.ndarray
     item_begins: np.ndarray
     items: np.ndarray
@@ -51,28 +53,24 @@ def _null_last(name: str | None) -> tuple[bool, str]:
 
 
 def phrases(item_ids: list, texts: list[str | None], size: int) -> Phrases:
+    """Windows are told apart by 64-bit hashes of their words, like the words themselves."""
     item_names = [None if item is None else str(item) for item in item_ids]
     names = sorted(set(item_names), key=_null_last)
     number = {name: index for index, name in enumerate(names)}
     part = next(slices(pa.array(texts, pa.string()), 1 << 62), Slice(0, 0, np.zeros(0, np.uint8), np.zeros(1, np.int64)))
     found = words(part)
     vocabulary, symbols = np.unique(found.hash, return_inverse=True)
-    begins = np.searchsorted(found.doc, np.arange(part.n_docs + 1))
-    rows, owner = [], []
-    for doc in range(part.n_docs):
-        held = symbols[begins[doc]:begins[doc + 1]] + SEPARATOR + 1
-        if not len(held):
-            continue
-        if len(held) < size:
-            held = np.concatenate([held, np.zeros(size - len(held), held.dtype)])
-        windows = np.lib.stride_tricks.sliding_window_view(held, size)
-        rows.append(windows)
-        owner.append(np.full(len(windows), number[item_names[part.first + doc]]))
-    if not rows:
-        return Phrases(vocabulary, np.zeros((0, size), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), names)
-    patterns, which = np.unique(np.concatenate(rows).astype(np.int64), axis=0, return_inverse=True)
-    held = np.unique(np.stack([which.ravel(), np.concatenate(owner)], axis=1), axis=0)
-    return Phrases(vocabulary, patterns, (patterns > 0).sum(axis=1), np.searchsorted(held[:, 0], np.arange(len(patterns) + 1)), held[:, 1], names)
+    hashes, begins = shingles(found, part.n_docs, size)
+    firsts = np.searchsorted(found.doc, np.arange(part.n_docs + 1)).astype(np.int32)
+    doc = np.repeat(np.arange(part.n_docs, dtype=np.int32), np.diff(begins))
+    start = firsts[doc] + (np.arange(len(doc)) - begins[doc]).astype(np.int32)
+    owner = np.array([number[name] for name in item_names] or [0], np.int32)[doc]
+    order = np.lexsort((owner, hashes))
+    hashes, owner, start, doc = hashes[order], owner[order], start[order], doc[order]
+    fresh = np.concatenate([[True], hashes[1:] != hashes[:-1]])[:len(hashes)]
+    held = fresh | np.concatenate([[True], owner[1:] != owner[:-1]])[:len(hashes)]
+    return Phrases(vocabulary, (symbols + SEPARATOR + 1).astype(np.int32), start[fresh], np.minimum(size, firsts[doc[fresh] + 1] - start[fresh]),
+                   np.append(np.flatnonzero(fresh[held]), held.sum()), owner[held], names)
 
 
 def _occurrences(found: Words, known: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -86,13 +84,14 @@ def _occurrences(found: Words, known: Phrases) -> tuple[np.ndarray, np.ndarray]:
     number = np.flatnonzero(keep)
     symbol, fresh = symbol[keep], fresh[keep]
     place = np.arange(len(number)) + np.cumsum(fresh)
-    text, origin = np.full(len(number) + int(fresh.sum()), SEPARATOR, np.int64), np.zeros(len(number) + int(fresh.sum()), np.int64)
+    text, origin = (np.full(len(number) + int(fresh.sum()), fill, np.int32) for fill in (SEPARATOR, 0))
     text[place], origin[place] = symbol, number
+    del symbol, place, inside, at, keep, number, fresh
     starts, windows = [], []
-    size = known.patterns.shape[1]
+    size = int(known.lengths.max())
     for begin in range(0, len(text), MAX_SYMBOLS):
         index = FMIndex(text[begin:begin + MAX_SYMBOLS + size - 1], len(known.vocabulary) + SEPARATOR)
-        low, high = index.search(known.patterns, known.lengths)
+        low, high = index.search(known.symbols, known.starts, known.lengths)
         hit = np.flatnonzero(high > low)
         counts = high[hit] - low[hit]
         rows = np.repeat(low[hit], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -106,7 +105,7 @@ def _spans(found: Words, known: Phrases, n_docs: int) -> tuple[np.ndarray, list,
     count = np.bincount(found.doc, minlength=n_docs)
     spans: list = [[] for _ in range(n_docs)]
     items: list = [[] for _ in range(n_docs)]
-    if not len(found.doc) or not len(known.patterns):
+    if not len(found.doc) or not len(known.starts):
         return count, spans, items
     start, window = _occurrences(found, known)
     if not len(start):
@@ -122,9 +121,9 @@ def _spans(found: Words, known: Phrases, n_docs: int) -> tuple[np.ndarray, list,
     for one, two in zip(firsts, lasts):
         doc = int(found.doc[one])
         spans[doc].append((int(found.start[one]), int(found.end[two]), int(one - begins[doc]), int(two + 1 - begins[doc])))
-    pairs = np.unique(found.doc[start].astype(np.int64) * len(known.patterns) + window)
+    pairs = np.unique(found.doc[start].astype(np.int64) * len(known.starts) + window)
     for pair in pairs:
-        doc, held = divmod(int(pair), len(known.patterns))
+        doc, held = divmod(int(pair), len(known.starts))
         items[doc].extend(known.items[known.item_begins[held]:known.item_begins[held + 1]].tolist())
     return count, spans, items
 
@@ -186,13 +185,13 @@ def _search_block(docs: DataFrame, known, keep: list[str]) -> DataFrame:
 
 
 def _blocks(benchmark: DataFrame, windows: Windows):
-    """Collects the benchmark block by block; a block holds about ``block_bytes`` of text at most."""
+    """Collects the benchmark block by block; a block holds about ``block_words`` words, and one item at least."""
     items = benchmark.select("item_id", "text").where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // windows.block_bytes) or 1
+    total = items.agg(F.sum(F.regexp_count(F.lower("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))).first()[0] or 0
+    blocks = -(-total // windows.block_words) or 1
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        yield phrases([row.item_id for row in rows], [row.text for row in rows], windows.size)
+        yield phrases([row.item_id for row in rows], [row.text for row in rows], windows.size), block == blocks - 1
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, windows: Windows = Windows(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -207,13 +206,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, windows: Windows =
     context = docs.sparkSession.sparkContext
     keep_all = [*dict.fromkeys([*keep, "text"])]
     rows = None
-    for known in _blocks(benchmark, windows):
+    for known, last in _blocks(benchmark, windows):
         carried = [] if rows is None else ["items_before", "spans_before"]
         source = docs if rows is None else rows.withColumnsRenamed({"items": "items_before", "spans": "spans_before"})
-        rows = _search_block(source, context.broadcast(known), [*keep_all, *carried])
+        held = context.broadcast(known)
+        del known
+        rows = _search_block(source, held, [*keep_all, *carried])
         if carried:
             rows = rows.withColumns({"items": F.array_sort(F.array_union("items_before", "items")),
                                      "spans": F.concat("spans_before", "spans")}).drop(*carried)
+        if not last:  # the next pass reads what this one has found, and its windows can go
+            rows = stored(rows, "benchmark-pass")
+            held.unpersist()
     return rows.withColumn("spans", merged_spans("spans")) if carried else rows
 
 

@@ -43,7 +43,7 @@ class Bits:
         padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
         padded[:len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view(np.uint64)
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words).astype(np.int64))])
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words).astype(np.int64))]).astype(np.int32)
         self.zeros = len(bits) - int(self.before[-1])
 
     def ones(self, at: np.ndarray) -> np.ndarray:
@@ -87,22 +87,22 @@ class FMIndex:
     """Index of a sequence of symbols >= 1; patterns are found by backward search."""
 
     def __init__(self, symbols: np.ndarray, top: int):
-        text = np.concatenate([symbols, [0]])
+        text = np.append(symbols, np.int32(0)).astype(np.int32)
         order = suffix_order(text)
         self.size = len(text)
         self.wavelet = Wavelet(text[order - 1], max(1, int(top).bit_length()))
         self.below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         sampled = order % SAMPLE == 0
-        self.sampled, self.samples = Bits(sampled), order[sampled]
+        self.sampled, self.samples = Bits(sampled), order[sampled].astype(np.int32)
 
-    def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix range [low, high) of each pattern, a row of symbols of which the first ``lengths`` count."""
-        low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.size, np.int64)
+    def search(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix range [low, high) of each pattern, ``lengths`` symbols from ``starts`` on."""
+        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.size, np.int64)
         for back in range(int(lengths.max(initial=0))):
             live = np.flatnonzero((lengths > back) & (low < high))
             if not len(live):
                 break
-            symbol = patterns[live, lengths[live] - 1 - back]
+            symbol = symbols[starts[live] + lengths[live] - 1 - back].astype(np.int64)
             low[live] = self.below[symbol] + self.wavelet.rank(symbol, low[live])
             high[live] = self.below[symbol] + self.wavelet.rank(symbol, high[live])
         return low, np.maximum(low, high)

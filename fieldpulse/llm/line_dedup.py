@@ -126,7 +126,8 @@ FILTERS = "shard int, keys long, cuckoo binary"
 class LineIndex:
     """Line keys of a growing and shrinking set of documents, under ``path`` or a new scratch folder.
 
-    ``shards`` should leave some 250,000 keys a shard; without it, the first insertion sets it from its number of keys.
+    ``shards`` should leave some 250,000 keys a shard; without it, the first insertion sets it from its number of keys. An insertion that takes
+    the shards beyond twice that deals all keys to more shards and builds their filters anew.
 
     Each change writes a new version of the touched state; the version before stays until it is no longer needed, so a job that
     dies can be run again from it.
@@ -188,7 +189,13 @@ class LineIndex:
             false = known.join(self.counts.select("key"), "key", "left_anti").select("shard", "key", "docs", "holder")
             counts = self._save(merged.unionByName(new).unionByName(false), "counts")
             fresh = new.unionByName(false)
-        self.filters = self._save(self._changed(fresh.select("shard", "key"), counts, grown=True), "filters")
+        held = counts.count()
+        if held > 2 * SHARD_KEYS * self.shards:
+            self.shards = -(-held // SHARD_KEYS)
+            counts = self._save(counts.withColumn("shard", self._shard(F.col("key"))), "dealt")
+            self.filters = self._save(_built(counts), "filters")
+        else:
+            self.filters = self._save(self._changed(fresh.select("shard", "key"), counts, grown=True), "filters")
         self.counts, self.postings = counts, self.postings.unionByName(found)
         return self
 
@@ -226,15 +233,11 @@ class LineIndex:
                 held.delete(changed)
             return pd.DataFrame({"shard": [shard], "keys": [size], "cuckoo": [held.table.tobytes()]})
 
-        def rebuild(group: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "keys": [len(group)],
-                                 "cuckoo": [CuckooFilter.of(_hashes(group["key"])).table.tobytes()]})
         made = stored(keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(run, FILTERS), "filters")
         full = made.where("cuckoo is null").select("shard")
         if full.isEmpty():
             return made
-        again = counts.join(full, "shard", "left_semi").select("shard", "key").groupBy("shard").applyInPandas(rebuild, FILTERS)
-        return made.where("cuckoo is not null").unionByName(again)
+        return made.where("cuckoo is not null").unionByName(_built(counts.join(full, "shard", "left_semi")))
 
     def known(self, docs: DataFrame) -> DataFrame:
         """(key, docs, holder) of the line keys of ``docs`` that the index holds: filters first, then the exact counts."""
@@ -247,6 +250,14 @@ class LineIndex:
         return self.postings.join(common, "key").where("doc_id != holder").select("key", "doc_id")
 
 
+def _built(counts: DataFrame) -> DataFrame:
+    """Filters of whole shards, from the counts."""
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "keys": [len(group)],
+                             "cuckoo": [CuckooFilter.of(_hashes(group["key"])).table.tobytes()]})
+    return counts.select("shard", "key").groupBy("shard").applyInPandas(build, FILTERS)
+
+
 def _hashes(keys: pd.Series) -> np.ndarray:
     """64 bits of hex digests."""
     return np.array([int(key[:16], 16) for key in keys], np.uint64).view(np.int64)
@@ -256,14 +267,15 @@ def without_common_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept (the text of the lines that stay), from the decisions of ``index``.
 
     A document without an id loses no line and counts for no key; rows that repeat a document all lose the same lines. Columns with
-    a name of the result are replaced.
+    a name of the result are replaced; others may have any name.
     """
     made = ("n_lines", "n_dropped", "kept")
     columns = [name for name in docs.columns if name not in made]
-    lost = index.drops().groupBy("doc_id").agg(F.collect_set("key").alias("_lost")).withColumnRenamed("doc_id", "_id")
-    rows = docs.select(*columns).join(lost, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    cut = lines(F.col("text"))
-    stays = F.filter(cut, lambda line: ~F.array_contains("_lost", F.md5(line_key(line))))
-    kept = F.when(F.col("_lost").isNull(), cut).otherwise(stays)
-    rows = rows.withColumn("n_lines", F.size(cut).cast("long")).withColumn("_kept", kept)
-    return rows.withColumn("n_dropped", F.col("n_lines") - F.size("_kept")).withColumn("kept", F.array_join("_kept", "\n")).select(*columns, *made)
+    lost = index.drops().groupBy("doc_id").agg(F.collect_set("key").alias("lost"))
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*columns).alias("_row"))
+    rows = packed.join(lost, "doc_id", "left")
+    cut = lines(F.col("_row.text"))
+    stays = F.filter(cut, lambda line: ~F.array_contains("lost", F.md5(line_key(line))))
+    rows = rows.withColumn("n_lines", F.size(cut).cast("long")).withColumn("stay", F.when(F.col("lost").isNull(), cut).otherwise(stays))
+    return rows.select(*(F.col("_row")[name].alias(name) for name in columns), "n_lines", (F.col("n_lines") - F.size("stay")).alias("n_dropped"),
+                       F.array_join("stay", "\n").alias("kept"))

@@ -13,8 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldpulse.session import scratch_dir
 
 
+#: Bytes of the rows that a Python worker gets at once; else 10,000 rows of any length.
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets the Python workers import this package: Spark hands it to every executor, once per context."""
+    """Lets the Python workers import this package: Spark hands it to every executor, once per context. Bounds the bytes of their batches."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(bound).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(bound, str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_fieldpulse_shipped", False):
         return
