@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from fieldpulse.llm.tables import ship, stored
 
 MOST_LONG = (1 << 63) - 1
+FEW_FILES = 64  # from so few tasks the driver takes the partial sums itself, which saves a shuffle per step
 
 
 @dataclass(frozen=True)
@@ -74,7 +75,10 @@ def _packed(rows: DataFrame, dims: int, shape: Bidiagonal) -> DataFrame:
                     held = []
         if sum(map(len, held)):
             yield block(held)
-    return rows.select("x").distinct().mapInArrow(run, "kind string, matrix binary")
+    # Dealt by the vectors' bytes, so that small tables make one block.
+    distinct = rows.select("x").distinct()
+    tasks = -(-rows.count() * 8 * dims // shape.block_bytes)
+    return (distinct.coalesce(1) if tasks <= 1 else distinct).mapInArrow(run, "kind string, matrix binary")
 
 
 def _matrices(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[np.ndarray]:
@@ -84,16 +88,17 @@ def _matrices(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[np.ndarr
 
 
 def _summed(blocks: DataFrame, dims: int, mean: np.ndarray, width: int, work: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """``work`` of each centred block, added up; a task sends ``width`` numbers, and the driver gets as many."""
+    """``work`` of each centred block, added up; a task sends ``width`` numbers, and the driver gets as many, from few tasks once for each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
         for matrix in _matrices(batches, dims):
             total += work(matrix - mean)
         yield pa.record_batch([pa.array(np.arange(width), pa.int32()), pa.array(total)], ["place", "value"])
-    out = np.zeros(width)
-    for row in blocks.mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).collect():
-        out[row.place] = row.value
-    return out
+    parts = blocks.mapInArrow(run, "place int, value double")
+    if len(blocks.inputFiles()) > FEW_FILES:
+        parts = parts.groupBy("place").agg(F.sum("value").alias("value"))
+    rows = parts.toArrow()
+    return np.bincount(rows.column("place").to_numpy(), rows.column("value").to_numpy(), width)
 
 
 def _totals(blocks: DataFrame, dims: int) -> tuple[int, list[int], int]:
