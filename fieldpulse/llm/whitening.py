@@ -1,10 +1,11 @@
 """Whitening of embeddings by Golub-Kahan-Lanczos bidiagonalisation.
 
-The centred vectors X (one per distinct vector) stay in blocks on the executors. A step multiplies X by a direction v, then its transpose by
-the unit vector u found so; both products are sums over blocks, of which one short row per task is added up. u has an entry per vector and is
-never stored: every u is X times a short coefficient vector, so a block computes its part of all u again, which costs nothing to
-recover when an executor is lost. New u and v are orthogonalised against all earlier ones. The alternating products leave a small
-bidiagonal matrix whose singular value decomposition gives components and deviations.
+The centred vectors X (one per distinct vector) stay in blocks on the executors. A step multiplies X by a direction, which gives the next left vector u,
+and the transpose of X by u, which gives the next direction v; both products are taken in one scan, block by block, and their sums are one short row per
+task. u has an entry per vector and is never stored: every u is X times a short coefficient vector p, and with the products kept, the
+inner products of a new u with all earlier ones follow from those, so it is orthogonalised by its coefficients. v is orthogonalised against all
+earlier ones as it is. There is no state on the executors to lose. The products leave a small bidiagonal matrix whose
+singular value decomposition gives components and deviations.
 """
 
 from __future__ import annotations
@@ -127,33 +128,32 @@ def _against(v: np.ndarray, held: list[np.ndarray]) -> np.ndarray:
     return v
 
 
-def _bidiagonalise(blocks: DataFrame, mean: np.ndarray, away: list[np.ndarray], wanted: int, draw: np.random.Generator,
-                   shape: Bidiagonal) -> tuple[np.ndarray, np.ndarray, bool]:
+def bidiagonalise(product: Callable[[np.ndarray], np.ndarray], dims: int, away: list[np.ndarray], wanted: int, draw: np.random.Generator,
+                  shape: Bidiagonal) -> tuple[np.ndarray, np.ndarray, bool]:
     """Singular values (falling) and right vectors of X on the complement of ``away``, and whether the steps ended in an invariant space.
 
-    Stops when the ``wanted`` largest are final. The matrix is alpha on the diagonal and beta above it.
+    ``product`` gives the transpose of X times X times a vector. Stops when the ``wanted`` largest are final. The matrix is alpha on the diagonal and
+    beta above it.
     """
-    dims = len(mean)
     v = _against(draw.normal(size=dims), away)
-    v /= np.linalg.norm(v)
-    vs, ps, alphas, betas = [v], [], [], []
+    vs, ps, backs, alphas, betas = [v / np.linalg.norm(v)], [], [], [], []
     beta, scale = 0.0, 0.0
     while True:
-        # u = X q less its parts along earlier u; all are known by their coefficients.
+        # u = X q, less its parts along earlier u; all are known by their coefficients p and by their products with the transpose.
         q = vs[-1] - beta * ps[-1] if ps else vs[-1]
-        earlier = np.stack([*ps, q], axis=1)
-        products = _summed(blocks, dims, mean, len(ps) + 1, lambda x: (x @ earlier).T @ (x @ q))
-        along, norm = products[:-1], products[-1]
-        alpha = float(np.sqrt(max(0.0, norm - along @ along)))
+        back = product(q)
+        along = np.array([held @ q for held in backs])
+        alpha = float(np.sqrt(max(0.0, q @ back - along @ along)))
         scale = max(scale, alpha, beta)
         ended = alpha <= shape.rank * scale or scale == 0.0
         if not ended:
-            p = (q - (earlier[:, :-1] @ along if ps else 0.0)) / alpha
-            back = _summed(blocks, dims, mean, dims + 1, lambda x: np.append(x.T @ (x @ p), ((x @ p) ** 2).sum()))
-            length = float(np.sqrt(back[-1]))  # 1 but for rounding
+            p = (q - sum(c * held for c, held in zip(along, ps))) / alpha
+            back = (back - sum(c * held for c, held in zip(along, backs))) / alpha
+            length = float(np.sqrt(p @ back))  # 1 but for rounding
             ps.append(p / length)
+            backs.append(back / length)
             alphas.append(alpha * length)
-            w = _against(back[:-1] / length - alphas[-1] * vs[-1], [*away, *vs])
+            w = _against(backs[-1] - alphas[-1] * vs[-1], [*away, *vs])
             beta = float(np.linalg.norm(w))
             scale = max(scale, beta)
             ended = beta <= 1e-15 * scale or len(vs) + len(away) == dims
@@ -166,34 +166,43 @@ def _bidiagonalise(blocks: DataFrame, mean: np.ndarray, away: list[np.ndarray],
         values = np.append(values, np.zeros(len(vs) - len(values)))
         if ended:
             return values, np.stack(vs, axis=1) @ right.T, True
-        if len(values) >= wanted and (beta * np.abs(left[-1, :wanted]) <= shape.tolerance * values[0]).all():
+        # Past half of the dimensions it is cheaper to go to the end than to look at the complement afterwards.
+        early = 2 * len(vs) <= dims - len(away)
+        if early and len(values) >= wanted and (beta * np.abs(left[-1, :wanted]) <= shape.tolerance * values[0]).all():
             return values[:wanted], np.stack(vs, axis=1) @ right.T[:, :wanted], False
         betas.append(beta)
         vs.append(w / beta)
 
 
 def fit(blocks: DataFrame, dims: int, shape: Bidiagonal = Bidiagonal()) -> Components:
-    """Components of the distinct vectors in ``blocks``, at most ``shape.components``, those without variance left out.
+    """Components of the distinct vectors in ``blocks``, at most ``shape.components``, those without variance left out."""
+    n, sums, squares = _totals(blocks, dims)
+    trace = (n * squares - sum(total * total for total in sums)) / n ** 2
+    mean = np.array([total / n for total in sums])
+    values, vectors = np.zeros(0), np.zeros((dims, 0))
+    if trace > 0:
+        values, vectors = largest(lambda q: _summed(blocks, dims, mean, dims, lambda x: x.T @ (x @ q)), dims, shape)
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(values))]) if len(values) else np.ones(0)
+    return Components(n, sums, vectors * signs, values ** 2 / n, trace)
+
+
+def largest(product: Callable[[np.ndarray], np.ndarray], dims: int, shape: Bidiagonal) -> tuple[np.ndarray, np.ndarray]:
+    """The largest singular values and their right vectors.
 
     One run finds each of several equal values once only, so further runs look at what is orthogonal to all found, until the largest value there
     does not exceed those wanted or nothing is left.
     """
-    n, sums, squares = _totals(blocks, dims)
-    trace = (n * squares - sum(total * total for total in sums)) / n ** 2
-    mean, draw = np.array([total / n for total in sums]), np.random.default_rng(shape.seed)
-    values, vectors = np.zeros(0), np.zeros((dims, 0))
-    while vectors.shape[1] < dims and trace > 0:
+    values, vectors, draw = np.zeros(0), np.zeros((dims, 0)), np.random.default_rng(shape.seed)
+    while vectors.shape[1] < dims:
         first = not len(values)
-        found, right, ended = _bidiagonalise(blocks, mean, list(vectors.T), shape.components if first else 1, draw, shape)
+        found, right, _ = bidiagonalise(product, dims, list(vectors.T), shape.components if first else 1, draw, shape)
         least = np.sort(values)[::-1][shape.components - 1] if len(values) >= shape.components else 0.0
         values, vectors = np.append(values, found), np.concatenate([vectors, right], axis=1)
         if not first and found[0] <= max(least, shape.rank * values.max()):
             break
     order = np.argsort(-values, kind="stable")[:shape.components]
     order = [i for i in order if values[i] > shape.rank * values.max()]
-    vectors = vectors[:, order]
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(order))]) if len(order) else np.ones(0)
-    return Components(n, sums, vectors * signs, values[order] ** 2 / n, trace)
+    return values[order], vectors[:, order]
 
 
 def _identity_error(blocks: DataFrame, dims: int, fitted: Components) -> float:
