@@ -19,8 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.tables import ship, stored
-from fieldpulse.session import scratch_dir
+from fieldpulse.llm.tables import scratch, ship, stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,7 +135,7 @@ class LineIndex:
     def __init__(self, spark: SparkSession, rule: LineRule = LineRule(), shards: int | None = None, path: str | None = None):
         ship(spark)
         self.spark, self.rule, self.shards = spark, rule, shards
-        self.path, self.version = path or scratch_dir(spark, "lines"), 0
+        self.path, self.version = path or scratch(spark, "lines"), 0
         self.postings = spark.createDataFrame([], "key string, doc_id long")
         self.counts = spark.createDataFrame([], COUNTS)
         self.filters = spark.createDataFrame([], FILTERS)

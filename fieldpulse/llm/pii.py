@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame expressions only.
 
 Seeds are addresses, IP numbers, cards and phone numbers with a fixed form. Every token with a digit or an at sign is an instance, and the
-words around it give lexical patterns: the two words before it, and the word on either side. Distinct (pattern, instance) pairs
+words around it give lexical patterns of several widths: the word before it, the two words before it, and the word on either side. Only words with
+two letters or more are context; marks and numbers are not. Distinct (pattern, instance) pairs
 are a graph. Scores travel over it for some rounds: a pattern is as good as the mean score of its instances, an
 instance as good as its accepted patterns together. In the end, patterns above the threshold mark the instances in their
 place that no fixed form knows.
@@ -37,7 +38,7 @@ class Bootstrap:
     """Rounds of scoring, distinct good instances a pattern needs, its least score, and digits of a new identifier."""
     rounds: int = 3
     support: int = 3
-    confidence: float = 0.8
+    confidence: float = 0.7
     digits: int = 4
 
 
@@ -92,7 +93,7 @@ def _spans(matches: Column, kind: str) -> Column:
 def base_spans(docs: DataFrame) -> DataFrame:
     """doc_id, row (a key of id and text), base (spans of the four kinds) and instances with their contexts, a row per document."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.xxhash64(F.col("doc_id"), F.col("text")))
+    rows = rows.withColumn("row", F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"), 256))
     digit, at = F.regexp_like("text", F.lit("[0-9]")), F.instr("text", "@") > 0
     rows = rows.withColumn("digit", digit).withColumn("at", at)
     single = F.when(F.col("digit"), F.regexp_replace("text", F.lit(r"(?<=[\x20-])[\x20-]"), F.lit("x"))).otherwise("")
@@ -122,9 +123,12 @@ def _occurrences(rows: DataFrame, rule: Bootstrap) -> DataFrame:
     # A base span in, around or across an instance makes it a seed.
     seed = F.exists("base", lambda s: (s["start"] < end) & (s["end"] > F.col("start")))
     left, right = F.substring_index("before", " ", -1), F.substring_index("after", " ", 1)
-    two = F.when(F.instr("before", " ") > 0, F.concat(F.lit("before "), F.substring_index("before", " ", -2)))
-    around = F.when((left != "") & (right != ""), F.concat(F.lit("around "), left, F.lit(" _ "), right))
-    patterns = F.array_compact(F.array(two, around))
+    pair = F.substring_index("before", " ", -2)
+    worded = lambda text: F.regexp_like(text, F.lit(r"\p{L}.*\p{L}"))
+    one = F.when(worded(left), F.concat(F.lit("before "), left))
+    two = F.when(worded(left) & (F.instr("before", " ") > 0) & worded(F.substring_index(pair, " ", 1)), F.concat(F.lit("before "), pair))
+    around = F.when(worded(left) & worded(right), F.concat(F.lit("around "), left, F.lit(" _ "), right))
+    patterns = F.array_compact(F.array(one, two, around))
     new = F.length(_digits(F.col("value"))) >= rule.digits
     return each.select("row", "start", end.alias("end"), F.lower("value").alias("instance"), seed.alias("seed"), new.alias("new"),
                        F.explode(patterns).alias("pattern")).dropDuplicates(["row", "start", "pattern"])
@@ -147,6 +151,21 @@ def good_patterns(occurrences: DataFrame, rule: Bootstrap) -> DataFrame:
     return accepted
 
 
+def rediscovery(docs: DataFrame, rule: Bootstrap = Bootstrap(), hide: int = 5) -> DataFrame:
+    """How well contexts alone find identifiers: one of ``hide`` seeds, by hash, is hidden from the scoring.
+
+    One row: hidden (distinct hidden identifiers that have a context), found (those that accepted patterns lead to), marked (all identifiers they lead
+    to) and known (marked ones that are seeds, hidden or not). found / hidden is the recall, known / marked a lower bound of the precision.
+    """
+    occurrences = stored(_occurrences(stored(base_spans(docs), "instances"), rule), "occurrences")
+    each = occurrences.withColumn("hidden", F.col("seed") & (F.pmod(F.xxhash64("instance"), F.lit(hide)) == 0))
+    accepted = good_patterns(each.withColumn("seed", F.col("seed") & ~F.col("hidden")), rule)
+    marked = each.join(accepted.select("pattern", F.lit(True).alias("accepted")), "pattern", "left").groupBy("instance").agg(
+        F.max("seed").alias("seed"), F.max("hidden").alias("hidden"), F.max(F.coalesce("accepted", F.lit(False))).alias("marked"))
+    return marked.agg(F.count_if("hidden").alias("hidden"), F.count_if(F.col("hidden") & F.col("marked")).alias("found"),
+                      F.count_if("marked").alias("marked"), F.count_if(F.col("marked") & F.col("seed")).alias("known"))
+
+
 def find_personal_data(docs: DataFrame, rule: Bootstrap = Bootstrap()) -> DataFrame:
     """(doc_id, spans) of every row of ``docs(doc_id, text)``: base kinds in order, each by start, then kind ``context`` by start.
 

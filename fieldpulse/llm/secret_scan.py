@@ -45,7 +45,8 @@ MORE_RULES = (
     Rule("github", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{60,})"),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{20,}"),
     Rule("google", r"\bAIza[0-9A-Za-z_-]{35}"),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # Parts are taken whole and begin where a run begins, so that a long run is not tried from each of its places.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}"),
 )
 RULES = BASE_RULES + MORE_RULES
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldpulse.functions.files import delete_folder
 from fieldpulse.session import scratch_dir
 
 
@@ -34,13 +36,35 @@ def ship(spark: SparkSession) -> None:
     context._fieldpulse_shipped = True
 
 
+_scratch: list[list[str]] = []
+
+
+def scratch(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    path = scratch_dir(spark, purpose)
+    for folders in _scratch:
+        folders.append(path)
+    return path
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Writes a frame below the shared checkpoint folder and reads it again."""
-    path = scratch_dir(frame.sparkSession, purpose)
+    path = scratch(frame.sparkSession, purpose)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch folders made inside at the end; what is to last must be written elsewhere by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            delete_folder(spark, path)
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,6 +1,7 @@
 """The operators on documents against plain versions, on small tables with nulls, empty, long, tied and repeated rows."""
 
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -306,6 +307,19 @@ def test_secrets_match_plain_search(docs):
     assert secret_scan.trigram_query(r"abcd|xyz") == ("or", (("and", ("abc", "bcd")), "xyz"))
 
 
+@pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda rule: rule.kind)
+def test_rules_take_linear_time(rule):
+    """Runs that look like the beginning of a match again and again: ten times the text takes about ten times as long."""
+    for piece in ("eyJ-", "eyJaaaaaaaaaaa.", "token ", "token= ", "AKIA", "0af", "-----BEGIN A ", "ghp_a", "xoxa-", "AIza", "password    "):
+        took = {}
+        for size in (20_000, 200_000):
+            text = (piece * size)[:size]
+            begin = time.process_time()
+            sum(1 for _ in re.finditer(rule.pattern, text))
+            took[size] = time.process_time() - begin
+        assert took[200_000] < 0.2 + 30 * took[20_000] and took[200_000] < 3
+
+
 def test_personal_data_matches_plain_search(docs):
     many = " ".join(f"u{i}@mail.org" for i in range(1500))
     rows = [(0, None), (1, ""), (2, "é a.b@c.org_x@d.e.f, @x.y a@b..c"), (3, "1.2.3.4.5.6.7.8 300.1.1.1 001.2.3.255"), (4, "4539 1488 0343 6467 4539-1488--0343 6467 1"),
@@ -331,6 +345,21 @@ def test_bootstrap_finds_new_identifiers(docs):
     assert found[10] == ["context"] and found[11] == [] and found[0] == ["email"]
 
 
+def test_hidden_seeds_are_found_again_by_their_contexts(docs):
+    """A fifth of the addresses and phone numbers is hidden; contexts of three widths find them, and numbers in other places stay out."""
+    draw = np.random.default_rng(6)
+    places = ["you can reach me under {} or later", "her phone number is {} these days", "write to {} about it", "send it to the address {} please"]
+    rows = []
+    for i in range(300):
+        seed = f"user{i}@mail{i % 7}.org" if i % 2 else f"+1 {200 + i} 555 {1000 + i}"
+        rows.append((i, f"{places[i % 4].format(seed)} and the year {draw.integers(1900, 2030)} was item number {draw.integers(10 ** 5)} | {draw.integers(10 ** 6)} | of it"))
+    row = pii.rediscovery(docs(*rows)).first()
+    assert row.hidden > 30 and row.found >= 0.9 * row.hidden and row.known >= 0.9 * row.marked
+    new = [(1000, "her phone number is 030-1234567 these days"), (1001, "in the year 1234567 of"), (1002, "7 | 1234567 | 8")]
+    found = {row.doc_id: [s.kind for s in row.spans] for row in pii.find_personal_data(docs(*rows, *new)).collect()}
+    assert (found[1000], found[1001], found[1002]) == (["context"], [], [])
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_empty_tables(docs, spark, rows):
     table = docs(*rows)

@@ -74,14 +74,14 @@ def test_query_agrees_with_sql(spark, name):
     assert got.equals(expected) and len(got)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
-def test_items_without_an_id_agree_with_sql(spark, tmp_path, monkeypatch, block_bytes):
+@pytest.mark.parametrize("block_words", [1 << 20, 9])
+def test_items_without_an_id_agree_with_sql(spark, tmp_path, monkeypatch, block_words):
     words = " ".join(f"b{i}" for i in range(14))
     docs = [(1, f"a {words} b"), (2, "clean text"), (3, "short item"), (4, f"short item {words}"), (5, None)]
     items = [(None, words), (None, "short item"), (7, f"x {words}"), (8, None), (None, None)]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    monkeypatch.setattr(decontaminate.find_contamination, "__defaults__", (decontaminate.Windows(block_bytes=block_bytes), ("doc_id",)))
+    monkeypatch.setattr(decontaminate.find_contamination, "__defaults__", (decontaminate.Windows(block_words=block_words), ("doc_id",)))
     connection = duckdb.connect()
     for table in ("documents", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
