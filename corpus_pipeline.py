@@ -1,7 +1,7 @@
 """From raw documents to a training mix: quality, line dedup, near copies, decontamination, mixing.
 
 Every stage takes all rows that the stage before it kept and returns them with the columns of ``documents``; the last returns the
-mix. Between stages the rows are written as Parquet and read again.
+mix. Between stages the rows are written as Parquet and read again; what a stage wrote on its way, and the rows before it, are then deleted.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldpulse.functions.files import delete_folder
 from fieldpulse.llm import decontaminate, line_dedup, mixing, ngram_join, quality
 from fieldpulse.llm.learning import fold
-from fieldpulse.llm.tables import given, stored
+from fieldpulse.llm.tables import given, passing
+from fieldpulse.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,13 +60,20 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing sources", mix_sources),
 ]
 
-# The classifier's decisions cannot be stated in SQL. No plain version of the whole pipeline is there yet: tests/llm check its columns and that kept texts are distinct.
+# The classifier's decisions cannot be stated in SQL; tests/llm/test_plain.py holds all stages against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = given(spark, sf_dir, "documents")
+    docs, before = given(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_dir(spark, name.replace(" ", "-"))
+        with passing(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
