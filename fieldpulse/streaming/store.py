@@ -1,12 +1,14 @@
 """The durable tables of the telemetry job, as parquet below one shared folder.
 
 Rows carry the ``batch_id`` of the micro-batch that wrote them, and a batch is written with dynamic
-partition overwrite, so a replayed batch replaces itself. Whole-table rewrites (devices, compaction) go to a
-new numbered folder; a small file in a log folder then makes that folder the current one.
+partition overwrite, so a replayed batch replaces itself. Whole-table rewrites (devices) go to a
+new numbered folder; a small file in a log folder then makes that folder the current one. Compaction adds chunks in the same way.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldpulse.functions.files import delete_folder, read_notes, write_note
+from fieldpulse.functions.files import child_folders, delete_folder, read_notes, write_note
 from fieldpulse.functions.times import floor_to
 from fieldpulse.operators.windows import DEFAULT_POLICY, WindowPolicy
 from fieldpulse.operators.referential import existence
@@ -49,7 +51,8 @@ _STATES = T.StructType([
     T.StructField("base_version", T.LongType()), _BATCH])
 _CHANGES = T.StructType([*DEVICE_CHANGE.fields, T.StructField("outcome", T.StringType()), _BATCH])
 
-COMPACTED = -1  # batch_id of rows whose own batch no replay can name any more
+# Tables with a folder per batch, and their columns.
+_BY_BATCH = {"readings": _STORED, "rejects": _REJECTED, "outcomes": _OUTCOMES, "late": _LATE, "answers": _ANSWERS, "device_changes": _CHANGES}
 
 
 @dataclass(frozen=True)
@@ -59,32 +62,24 @@ class Store:
 
     def create(self) -> Store:
         """Makes the empty tables; those already there are left alone."""
-        by_batch = ("batch_id",)
-        for path, schema, partitions in (
-            (self._readings_path(0), _STORED, ("event_date", "batch_id")),
-            (self._path("rejects"), _REJECTED, by_batch),
-            (self._path("outcomes"), _OUTCOMES, by_batch),
-            (self._path("late"), _LATE, by_batch),
-            (self._path("answers"), _ANSWERS, by_batch),
-            (self._path("device_deltas"), _DELTAS, ("base_version", "batch_id")),
-            (self._path("device_states"), _STATES, ("base_version", "batch_id")),
-            (self._path("device_changes"), _CHANGES, by_batch),
-        ):
+        tables = [(name, schema, ("event_date", "batch_id") if name == "readings" else ("batch_id",)) for name, schema in _BY_BATCH.items()]
+        by_base = ("base_version", "batch_id")
+        for name, schema, partitions in (*tables, ("device_deltas", _DELTAS, by_base), ("device_states", _STATES, by_base)):
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
+            empty.write.mode("ignore").partitionBy(*partitions).parquet(self._path(name))
         return self
 
     # -- readings ---------------------------------------------------------------------------------
 
     def readings(self) -> DataFrame:
-        return self.spark.read.schema(_STORED).parquet(self._readings_path(self._current("readings_log")))
+        return self._table("readings", _STORED)
 
     def readings_at(self, places: DataFrame) -> DataFrame:
-        """Readings of the days and batches named in ``places(event_date, batch_id)``, and compacted ones of those days; other folders are not read.
-        The driver gets as many names as there are folders to read."""
+        """Readings of the days and batches named in ``places(event_date, batch_id)``; other folders are not read, and of compacted ones those of
+        other days. The driver gets as many names as there are folders to read."""
         held = places.select("event_date", "batch_id").distinct().collect()
         days, batches = {row.event_date for row in held}, {row.batch_id for row in held}
-        return self.readings().where(F.col("event_date").isin(*days) & F.col("batch_id").isin(COMPACTED, *batches))
+        return self.readings().where(F.col("event_date").isin(*days) & F.col("batch_id").isin(*batches))
 
     @property
     def key_index(self) -> KeyIndex:
@@ -97,27 +92,57 @@ class Store:
         """Stores the rows of one batch."""
         dated = rows.select(*READING.names).withColumns(
             {"event_date": F.to_date("recorded_at"), "batch_id": F.lit(batch_id).cast("long")})
-        self._write_readings(dated, self._current("readings_log"))
+        _overwrite(_evened(dated), self._path("readings"), "event_date", "batch_id")
 
-    def compact_readings(self) -> None:
-        """Rewrites all batches but the last, which may still be replayed, into few files per day.
+    def compact(self, before: int) -> None:
+        """Merges what the batches before ``before`` left in a folder each. It may run while a stream writes, if ``before`` is not past the batch that
+        runs: batches add folders of their own, and the last one may be run again.
 
-        Run it while the stream is stopped. The new table becomes current by its log file alone.
+        Per table the batches since the last time become one chunk, by day for readings, with their ``batch_id`` as a column. A small file names the
+        chunks and the last batch in them; readers take the later batches from their folders. The folders that the chunks replace are deleted
+        the next time, when no reader that began before can need them, so there are as many as between two calls. Of two calls at the same time one
+        gives up.
         """
-        version = self._current("readings_log")
-        rows = self.readings()
+        for name, schema in _BY_BATCH.items():
+            self._compact(name, schema, before)
+
+    def _compact(self, name: str, schema: T.StructType, before: int) -> None:
+        held = self._chunks(name)
+        self._delete_folders(name, held["through"])
+        rows = self._folders(name, schema).where((F.col("batch_id") > held["through"]) & (F.col("batch_id") < before))
         last = rows.agg(F.max("batch_id")).first()[0]
-        merged = rows.withColumn("batch_id", F.when(F.col("batch_id") == last, F.col("batch_id"))
-                                 .otherwise(F.lit(COMPACTED)))
-        # A dead attempt may have left files of this version; they are replaced as a whole.
-        self._write_readings(merged, version + 1, "static")
-        self._log("readings_log", version + 1)
-
-    def _write_readings(self, rows: DataFrame, version: int, replaced: str = "dynamic") -> None:
-        # A day with most of the rows is split over tasks; time order lets later reads skip row groups.
-        order = ("event_date", "batch_id", "recorded_at")
-        evened = rows.hint("rebalance", "event_date").sortWithinPartitions(*order)
-        _overwrite(evened, self._readings_path(version), "event_date", "batch_id", replaced=replaced)
+        if last is None:
+            return
+        chunk = f"{held['through'] + 1}-{last}-{uuid.uuid4().hex[:8]}"
+        path = f"{self._path('chunks')}/{name}/chunk={chunk}"
+        if name == "readings":
+            _overwrite(_evened(rows), path, "event_date", replaced="static")
+        else:
+            rows.hint("rebalance").write.parquet(path)
+        if self._chunks(name) != held:
+            delete_folder(self.spark, path)
+            return
+        log = f"{self._path('chunks_log')}/{name}"
+        write_note(self.spark, f"{log}/{last}.json", json.dumps({"through": last, "chunks": [*held["chunks"], chunk]}))
+        for old in sorted(int(note) for note in read_notes(self.spark, log, ".json"))[:-2]:
+            delete_folder(self.spark, f"{log}/{old}.json")
+
+    def _chunks(self, name: str) -> dict:
+        notes = read_notes(self.spark, f"{self._path('chunks_log')}/{name}", ".json")
+        return json.loads(notes[max(notes, key=int)]) if notes else {"through": -1, "chunks": []}
+
+    def _delete_folders(self, name: str, through: int) -> None:
+        days = [f"{self._path(name)}/{day}" for day in child_folders(self.spark, self._path(name)) if day.startswith("event_date=")]
+        for parent in days or [self._path(name)]:
+            batches = [folder for folder in child_folders(self.spark, parent) if folder.startswith("batch_id=")]
+            gone = [folder for folder in batches if int(folder.removeprefix("batch_id=")) <= through]
+            for folder in gone:
+                delete_folder(self.spark, f"{parent}/{folder}")
+            if days and len(gone) == len(batches):
+                delete_folder(self.spark, parent)
+
+    def _folders(self, name: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self._path(name))
 
     def staged(self, rows: DataFrame, batch_id: int, table: str = "staging") -> DataFrame:
         """Rows of one batch, written to the store's own scratch table and read back; the next but one replaces them."""
@@ -247,14 +272,18 @@ class Store:
     def _path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _readings_path(self, version: int) -> str:
-        return self._path(f"readings/v{version}")
-
     def _devices_path(self, version: int) -> str:
         return self._path(f"devices/v{version}")
 
-    def _table(self, table: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._path(table))
+    def _table(self, name: str, schema: T.StructType) -> DataFrame:
+        held = self._chunks(name)
+        rows = self._folders(name, schema)
+        if not held["chunks"]:
+            return rows
+        root = f"{self._path('chunks')}/{name}"
+        chunked = T.StructType([*schema.fields, T.StructField("chunk", T.StringType())])
+        merged = self.spark.read.schema(chunked).option("basePath", root).parquet(*(f"{root}/chunk={chunk}" for chunk in held["chunks"]))
+        return rows.where(F.col("batch_id") > held["through"]).unionByName(merged.select(*schema.names))
 
     def _write_batch(self, rows: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
         numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -271,6 +300,11 @@ class Store:
         write_note(self.spark, f"{self._path(log)}/{version}.json", "")
 
 
+def _evened(rows: DataFrame) -> DataFrame:
+    """A day with most of the rows is split over tasks; time order lets later reads skip row groups."""
+    return rows.hint("rebalance", "event_date").sortWithinPartitions("event_date", "batch_id", "recorded_at")
+
+
 def _overwrite(rows: DataFrame, path: str, *partitions: str, replaced: str = "dynamic") -> None:
     """Replaces just the partitions that ``rows`` fills, or with ``replaced`` "static" the whole table."""
     (rows.write.mode("overwrite").option("partitionOverwriteMode", replaced)

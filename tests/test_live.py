@@ -103,7 +103,7 @@ def test_duplicates_are_answered_from_the_batch_that_stored_them(spark, deliveri
     assert {row.batch_id for row in scan.collect()} == {1}
     pruned = scan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "batch_id" in pruned and "event_date" in pruned
-    store.compact_readings()
+    store.compact(3)
     ingest.ingest_batch(plain(deliveries(("a", "00:10", "01:40", 5.0))), 3, store)
     assert {row.stored_value for row in store.answers().where("batch_id = 3").collect()} == {1.0}
 

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from fieldpulse.operators import skew
+from fieldpulse.operators import quantile, skew
 from fieldpulse.operators.quantile import group_stats
 from fieldpulse.operators.skew import HotGroups, hot_limit, spread_join
 
@@ -51,6 +51,33 @@ def test_selection_is_exact_on_mixed_groups(spark):
                 assert got[key][2] == pytest.approx(sum(values) / len(values))
 
 
+def test_rank_is_narrowed_until_one_task_can_rank_it(spark, monkeypatch):
+    """Few values per task and hardly any cuts, so that slices are cut again and again; one value has nearly all rows of a group."""
+    monkeypatch.setattr(quantile, "CUT_OFFSETS", (-900,))
+    monkeypatch.setattr(quantile, "EVEN_CUTS", 4)
+    looked = []
+    narrow = quantile._select_rank
+    monkeypatch.setattr(quantile, "_select_rank", lambda rows, keys, value, hot: narrow(rows, keys, value, hot, most=20))
+    written = quantile._written
+    monkeypatch.setattr(quantile, "_written", lambda frame, purpose: looked.append(purpose) or written(frame, purpose))
+    rng = random.Random(3)
+    groups = {"many": [rng.random() for _ in range(4_000)], "heavy": [float(i) for i in range(1_000)] + [2_000.0] * 3_000 + [3_000.0 + i for i in range(300)]}
+    got = stats(spark, groups, ALL_HOT)
+    assert {key: row[:2] for key, row in got.items()} == {key: (nearest_rank(values), len(values)) for key, values in groups.items()}
+    assert looked.count("rank-cuts") >= 2
+
+
+@pytest.mark.parametrize("hot", [None, ALL_HOT])
+def test_weights_stand_for_equal_values(spark, hot):
+    rng = random.Random(4)
+    rows = [(key, float(rng.randrange(40)), rng.randrange(1, 30)) for key in "abc" for _ in range(60)]
+    frame = spark.createDataFrame(rows, "k string, value double, n long")
+    got = {row.k: (row.p95, row["count"], row.average) for row in group_stats(frame, ["k"], hot=hot, weight="n").collect()}
+    for key in "abc":
+        values = [value for k, value, n in rows if k == key for _ in range(n)]
+        assert got[key] == (nearest_rank(values), len(values), pytest.approx(sum(values) / len(values)))
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.sampled_from("abc"),
                        st.lists(st.floats(-1e6, 1e6).map(lambda x: x + 0.0), min_size=1, max_size=60),
