@@ -47,7 +47,7 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
     """
     devices = store.devices(store.devices_version(batch_id)) if devices is None else devices
     index = store.key_index
-    if not index.runs.live():  # a store filled before it had an index
+    if not index.runs.live() and store.has_readings():  # a store filled before it had an index
         earlier = store.readings().where(F.col("batch_id") != batch_id)
         index.build(earlier)
         store.window_counts(policy).build(drop_too_late(earlier, policy))
@@ -91,13 +91,13 @@ def _write_labelled(labelled: DataFrame, batch_id: int, store: Store, policy: Wi
 def _write_counted(labelled: DataFrame, batch_id: int, store: Store, policy: WindowPolicy, hot: HotGroups) -> None:
     """The counts of the batch and the metrics of its windows. Windows that had ended are answered from the readings of earlier batches and this one."""
     counts, counted = store.window_counts(policy), counted_rows(labelled)
-    rows = counts.add(counted, batch_id)
-    if rows:
+    seen = counts.add(counted, batch_id)
+    if seen:
         earlier = drop_too_late(store.readings().where(F.col("batch_id") != batch_id), policy)
         own = counted.withColumns({"event_date": F.to_date("recorded_at"), "batch_id": F.lit(batch_id).cast("long")}).select(*earlier.columns)
         windows = counted.select(*WINDOW_KEYS).distinct()
         # Ids of stored rows have a bounded length, so few rows have few bytes.
-        store.write_metrics(counts.touched(windows, batch_id, earlier.unionByName(own), hot, few=rows <= MAX_BROADCAST_BYTES // 512), batch_id)
+        store.write_metrics(counts.touched(windows, batch_id, earlier.unionByName(own), hot, seen["rows"] <= MAX_BROADCAST_BYTES // 512, seen), batch_id)
 
 
 def _answers(labelled: DataFrame, seen: DataFrame, store: Store, hot: HotGroups) -> DataFrame:

@@ -74,6 +74,11 @@ class Store:
     def readings(self) -> DataFrame:
         return self._table("readings", _STORED)
 
+    def has_readings(self) -> bool:
+        """Whether any batch has stored readings, by the folders alone."""
+        return bool(self._chunks("readings")["chunks"]) or any(
+            folder.startswith("event_date=") for folder in child_folders(self.spark, self._path("readings")))
+
     def readings_at(self, places: DataFrame) -> DataFrame:
         """Readings of the days and batches named in ``places(event_date, batch_id)``; other folders are not read, and of compacted ones those of
         other days. The driver gets as many names as there are folders to read."""

@@ -43,16 +43,16 @@ class WindowCounts:
     def runs(self) -> Runs:
         return Runs(self.spark, self.root, self.fanout)
 
-    def add(self, counted: DataFrame, batch_id: int) -> int:
-        """Counts the rows of a batch that count in their window: ``counted(device_id, metric_type, window_start, value, ingested_at)``. Returns how
-        many there are."""
+    def add(self, counted: DataFrame, batch_id: int) -> Row | None:
+        """Counts the rows of a batch that count in their window: ``counted(device_id, metric_type, window_start, value, ingested_at)``. Returns the
+        first and last window and the number of rows; None if there are none."""
         arrival = F.percentile_approx(micros_between(utc_literal(EPOCH), F.col("ingested_at")), 0.5)
         seen = counted.agg(arrival.alias("clock"), *_ends(), F.count(F.lit(1)).alias("rows")).first()
         if seen["clock"] is None:
-            return 0
+            return None
         counts = counted.groupBy(*WINDOW_KEYS, "value").agg(F.count(F.lit(1)).alias("n"))
         self._write(counts, 0, batch_id, batch_id, EPOCH + timedelta(microseconds=seen["clock"]), seen)
-        return seen["rows"]
+        return seen
 
     def build(self, counted: DataFrame) -> None:
         """Counts all rows of a store filled without this table, as one run that covers all batches up to its last one."""
@@ -96,14 +96,19 @@ class WindowCounts:
         return self._read(live) if live else self.spark.createDataFrame([], _COUNTS)
 
     def touched(self, windows: DataFrame, batch_id: int, readings: DataFrame | None = None, hot: HotGroups = HotGroups(),
-                few: bool = False) -> DataFrame:
+                few: bool = False, seen: Row | None = None) -> DataFrame:
         """Metrics of the distinct ``windows(device_id, metric_type, window_start)`` of a batch over all their rows so far.
 
         Runs and days without one of the windows are not read. Windows that had ended before the batch are answered from ``readings``, the stored
-        rows that count, with their window; without ``readings`` they are left out. ``few`` says that the windows can be broadcast.
+        rows that count, with their window; without ``readings`` they are left out. ``few`` says that the windows can be broadcast, and ``seen`` is
+        what ``add`` returned for the batch.
         """
-        over = self._ended(batch_id)
-        span = windows.agg(*_ends(), F.min(F.when(over, F.col("window_start"))).alias("first_ended"), F.max(F.when(over, F.col("window_start"))).alias("last_ended")).first()
+        over, clock = self._ended(batch_id), self.clock(batch_id)
+        if seen is not None and (clock is None or seen["first"] + (self.policy.close_after or self.policy.bin) + self.policy.grace + self.horizon >= clock):
+            span = {"first": seen["first"], "last": seen["last"], "first_ended": None}
+        else:
+            span = windows.agg(*_ends(), F.min(F.when(over, F.col("window_start"))).alias("first_ended"),
+                               F.max(F.when(over, F.col("window_start"))).alias("last_ended")).first()
         ended = windows.where(over)
         runs = [] if span["first"] is None else [run for run in self.runs.live() if from_note(run.about["first"]) <= span["last"] and span["first"] <= from_note(run.about["last"])]
         if runs:
