@@ -22,6 +22,8 @@ from fieldpulse.streaming.runs import Run, Runs
 FEW_KEYS = 1_000_000
 FEW_SLOTS = 256  # filters that are read together, a megabyte, without asking first which of them are needed
 FILTER_BITS = 32_768  # what one bitmap of Spark holds
+FILES = 256  # a run has no more files of each kind, until they hold FILE_KEYS keys each
+FILE_KEYS = 65_536
 PLACE = ("event_date", "batch_id")
 
 _KEYS = f"{KEY} string, event_date date, batch_id long, bucket long"
@@ -31,20 +33,27 @@ _FILTERS = "slot long, bits binary, bucket long"
 @dataclass(frozen=True)
 class IndexShape:
     """``slot_keys`` share a filter, ``bucket_slots`` filters and their keys a file. With 2,048 keys and 4 probes a filter errs once in
-    some 400 look-ups."""
+    some 400 look-ups. Where files would be small and very many, more filters share one: every file costs the driver a rename and each
+    reader a listing."""
     slot_keys: int = 2048
     bucket_slots: int = 32
     probes: int = 4
     fanout: int = 8
 
+    def slots_per_file(self, slots: int) -> int:
+        return max(self.bucket_slots, min(-(-slots // FILES), FILE_KEYS // self.slot_keys))
+
 
 def _slot(slots: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("slot"), KEY), slots)
 
 
-def _places(shape: IndexShape) -> Column:
+def _seed() -> Column:
+    return F.xxhash64(F.lit("bits"), KEY)
+
+
+def _places(shape: IndexShape, seed: Column) -> Column:
     """The bits of a key in its filter: pieces of one more hash."""
-    seed = F.xxhash64(F.lit("bits"), KEY)
     return F.array(*(F.pmod(F.shiftrightunsigned(seed, 15 * probe), F.lit(FILTER_BITS)) for probe in range(shape.probes)))
 
 
@@ -88,18 +97,20 @@ class KeyIndex:
             return
         runs, name = self.runs, Runs.name(level, first, last)
         slots = -(-count // self.shape.slot_keys)
-        placed = keys.withColumn("slot", _slot(F.lit(slots))).withColumn("bucket", F.expr(f"slot div {self.shape.bucket_slots}"))
-        buckets, empty = -(-slots // self.shape.bucket_slots), []
-        by_bucket = lambda rows: rows.coalesce(1) if buckets == 1 else rows.repartition("bucket")
-        rows = by_bucket(placed.select(KEY, *PLACE, "bucket")).sortWithinPartitions("bucket", KEY)
+        share = self.shape.slots_per_file(slots)
+        buckets, empty = -(-slots // share), []
+        placed = keys.withColumn("slot", _slot(F.lit(slots))).withColumn("bucket", F.expr(f"slot div {share}"))
+        # Dealt before the bits are set: a bitmap has its full size however few keys a task has for it.
+        placed = placed.repartition(1) if buckets == 1 else placed.repartition("bucket")
+        rows = placed.select(KEY, *PLACE, "bucket").sortWithinPartitions("bucket", KEY)
         rows.write.mode("overwrite").partitionBy("bucket").parquet(runs.folder(name, "keys"))
-        bits = placed.select("bucket", "slot", F.explode(_places(self.shape)).alias("place")).groupBy("bucket", "slot").agg(
+        bits = placed.select("bucket", "slot", F.explode(_places(self.shape, _seed())).alias("place")).groupBy("bucket", "slot").agg(
             F.bitmap_construct_agg("place").alias("bits"))
-        by_bucket(bits).sortWithinPartitions("bucket", "slot").write.mode("overwrite").partitionBy("bucket").parquet(runs.folder(name, "filters"))
+        bits.sortWithinPartitions("bucket", "slot").write.mode("overwrite").partitionBy("bucket").parquet(runs.folder(name, "filters"))
         if buckets > 1:
             filled = runs.read(_FILTERS, [runs.folder(name, "filters")]).select("bucket")
             empty = [row.id for row in self.spark.range(buckets).join(filled, F.col("id") == F.col("bucket"), "left_anti").collect()]
-        runs.commit(level, first, last, {"keys": count, "slots": slots, "empty": empty})
+        runs.commit(level, first, last, {"keys": count, "slots": slots, "share": share, "empty": empty})
 
     # -- reading ----------------------------------------------------------------------------------
 
@@ -119,19 +130,27 @@ class KeyIndex:
         runs = {run.name: run for run in self.runs.live(batch_id)}
         if not runs:
             return []
-        each = F.explode(F.array(*(F.struct(F.lit(run.name).alias("run"), F.lit(run.about["slots"]).cast("long").alias("slots")) for run in runs.values()))).alias("_run")
-        asked = (probe.select(KEY, _places(self.shape).alias("places"), each)
-                 .select("places", "_run.run", _slot(F.col("_run.slots")).alias("slot"))
-                 .withColumn("bucket", F.expr(f"slot div {self.shape.bucket_slots}")))
-        all_ = [Row(run=run.name, bucket=bucket) for run in runs.values() for bucket in range(-(-run.about["slots"] // self.shape.bucket_slots))] if (
+        each = F.explode(F.array(*(F.struct(F.lit(run.name).alias("run"), F.lit(run.about["slots"]).cast("long").alias("slots"),
+                                           F.lit(self._share(run)).cast("long").alias("share")) for run in runs.values()))).alias("_run")
+        asked = (probe.select(KEY, _seed().alias("seed"), each)
+                 .select("seed", "_run.run", "_run.share", _slot(F.col("_run.slots")).alias("slot"))
+                 .withColumn("bucket", F.expr("slot div share")))
+        all_ = [Row(run=run.name, bucket=bucket) for run in runs.values() for bucket in range(-(-run.about["slots"] // self._share(run)))] if (
             sum(run.about["slots"] for run in runs.values()) <= FEW_SLOTS) else None
         near = self._folders(all_ or asked.select("run", "bucket").distinct().collect(), runs, "filters")
         if not near:
             return []
         filters = self.runs.read(_FILTERS, near).select("run", "slot", "bits")
-        maybe = asked.join(filters, ["run", "slot"]).where(_all_set("bits", "places")).select("run", "bucket").distinct()
+        if sum(run.about["slots"] for run in runs.values()) * FILTER_BITS // 8 <= MAX_BROADCAST_BYTES:
+            filters = F.broadcast(filters)  # so that the keys stay where they are
+        places = _places(self.shape, F.col("seed"))
+        maybe = asked.join(filters, ["run", "slot"]).withColumn("places", places).where(_all_set("bits", "places")).select("run", "bucket").distinct()
         return self._folders(maybe.collect(), runs, "keys")
 
+    def _share(self, run: Run) -> int:
+        """Filters per file; runs of an earlier version do not note it."""
+        return run.about.get("share", self.shape.bucket_slots)
+
     def _folders(self, buckets: Sequence[Row], runs: dict[str, Run], part: str) -> list[str]:
         held = sorted((row.run, row.bucket) for row in buckets if row.bucket not in runs[row.run].about["empty"])
         return [f"{self.runs.folder(run, part)}/bucket={bucket}" for run, bucket in held]
