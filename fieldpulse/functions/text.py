@@ -23,5 +23,5 @@ def is_unicode_blank(text: Column) -> Column:
 
 
 def longer_than(text: Column, limit: int) -> Column:
-    """More than ``limit`` UTF-16 units, in which the size rules count."""
-    return F.coalesce(F.octet_length(F.encode(text, "UTF-16BE")) > 2 * limit, F.lit(False))
+    """More than ``limit`` UTF-16 units, in which the size rules count. A text has no more of them than bytes, so few are encoded."""
+    return F.coalesce((F.octet_length(text) > limit) & (F.octet_length(F.encode(text, "UTF-16BE")) > 2 * limit), F.lit(False))

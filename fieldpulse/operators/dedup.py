@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.operators.skew import HotGroups, spread_join
+from fieldpulse.operators.skew import HotGroups, hot_limit, spread_join
 
 KEY = "idempotency_key"
 ARRIVAL = ("ingested_at", "delivery_seq")
@@ -40,18 +40,33 @@ def dedup_first_wins(deliveries: DataFrame, key: str = KEY,
             .select(key, "_first.*").select(*deliveries.columns))
 
 
+def without_message(deliveries: DataFrame) -> DataFrame:
+    """Deliveries without the text they were decoded from. Its part in telling rows apart stays, as ``_content``."""
+    return deliveries.withColumn("_content", content(deliveries)).drop("topic", "payload")
+
+
 def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL,
                eligible: Column | None = None, seen: DataFrame | None = None,
-               name: str = "is_first") -> DataFrame:
+               name: str = "is_first", hot: HotGroups | None = None) -> DataFrame:
     """All deliveries, with a flag on the first eligible one of each key.
 
     Keys in ``seen`` have no first delivery here. Identical rows are counted together first, with map-side
     combine, and of those that win one is flagged. The join is on key, arrival *and* content, which only the
     winner matches, so the copies of a hot key spread over all partitions.
+
+    With ``hot`` a look at the rows, which should be stored or cached, comes first: if no key is hot, the rows are dealt by key and
+    sorted once, which gives the same flags.
     """
-    rows = deliveries.withColumn("_content", content(deliveries))
-    candidates = rows if eligible is None else rows.where(eligible)
+    rows = deliveries if "_content" in deliveries.columns else deliveries.withColumn("_content", content(deliveries))
     order = [*order, "_content"]
+    if hot is not None:
+        can = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+        # A number first, as rows are sorted by it faster than by text.
+        dealt = rows.withColumn("_can", can).withColumns({
+            "_spread": F.when(F.col("_can"), F.xxhash64(key)).otherwise(F.col("_content")), "_of": F.when(F.col("_can"), F.col(key))})
+        if hot_limit(dealt, ("_spread", "_of"), hot) is None:
+            return _first_in_order(dealt, key, order, seen, name).select(*deliveries.columns, name)
+    candidates = rows if eligible is None else rows.where(eligible)
     winners = candidates.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     if seen is not None:
         winners = winners.join(seen.select(key), key, "left_anti")
@@ -64,6 +79,20 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
         *deliveries.columns, F.coalesce(F.col("_wins") & (F.col("_copy") == 1), F.lit(False)).alias(name))
 
 
+def _first_in_order(dealt: DataFrame, key: str, order: Sequence[str], seen: DataFrame | None, name: str) -> DataFrame:
+    """Flags the first row of each ``_of`` by one sort; a seen key has a row of its own before all others. Rows that are not eligible are dealt
+    by content. A key or a first place that is not known has no first row."""
+    rows = dealt.withColumn("_seen", F.lit(False))
+    if seen is not None:
+        stored = seen.select(key, F.lit(True).alias("_can"), F.xxhash64(key).alias("_spread"), F.col(key).alias("_of"), F.lit(True).alias("_seen"))
+        rows = rows.unionByName(stored, allowMissingColumns=True)
+    place = F.row_number().over(Window.partitionBy("_spread", "_of").orderBy(F.col("_seen").desc(), *order))
+    known = F.lit(True)
+    for column in (key, *order):
+        known = known & F.col(column).isNotNull()
+    return rows.withColumn("_nth", place).where(~F.col("_seen")).withColumn(name, F.col("_can") & (F.col("_nth") == 1) & known)
+
+
 def few_bytes(rows: DataFrame, most: int) -> bool:
     """Whether the text of all columns takes at most ``most`` bytes, and 8 per row; one aggregate, one number per task."""
     sizes = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)).cast("long") for name in rows.columns]

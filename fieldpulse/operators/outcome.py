@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.operators.decode import recorded_at_default
-from fieldpulse.operators.dedup import mark_first
+from fieldpulse.operators.dedup import mark_first, without_message
 from fieldpulse.operators.referential import flag_known_at_arrival, flag_known_devices
+from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.validate import validate_readings
 from fieldpulse.operators.windows import (
     DEFAULT_POLICY, LATE_ACCEPTED, LATE_DROPPED, WindowPolicy, late_by, lateness_class,
@@ -31,13 +32,14 @@ COUNTED = (ACCEPTED, ACCEPTED_LATE)
 REJECTED = (DECODE_ERROR, INVALID, DEVICE_NOT_FOUND)
 
 
-def check_deliveries(deliveries: DataFrame, devices: DataFrame, salts: int = 1) -> DataFrame:
+def check_deliveries(deliveries: DataFrame, devices: DataFrame, salts: int = 1, message: bool = True) -> DataFrame:
     """The stages that look at one row and the device table: defaults, violations, device, lateness.
 
     ``deliveries`` holds the request columns and ``decode_error``. ``devices`` has an id per device, or is from ``referential.existence``; then a
-    device must have been there when the reading arrived.
+    device must have been there when the reading arrived. No ``message`` leaves out the text that deliveries were decoded from, before the join.
     """
     checks = validate_readings(recorded_at_default(deliveries))
+    checks = checks if message else without_message(checks)
     checked = flag_known_at_arrival(checks, devices) if "states" in devices.columns else flag_known_devices(checks, devices, salts)
     return checked.withColumn(
         "storable",
@@ -52,9 +54,9 @@ def rejection() -> Column:
 
 
 def label_outcomes(checked: DataFrame, seen: DataFrame | None = None,
-                   policy: WindowPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Labels checked deliveries. ``seen`` holds the keys stored before them."""
-    marked = mark_first(checked, eligible=F.col("storable"), seen=seen)
+                   policy: WindowPolicy = DEFAULT_POLICY, hot: HotGroups | None = None) -> DataFrame:
+    """Labels checked deliveries. ``seen`` holds the keys stored before them; ``hot`` is for ``mark_first``, if they are stored or cached."""
+    marked = mark_first(checked, eligible=F.col("storable"), seen=seen, hot=hot)
     outcome = (
         F.when(~F.col("storable"), rejection())
         .when(~F.col("is_first"), DUPLICATE)
@@ -63,7 +65,7 @@ def label_outcomes(checked: DataFrame, seen: DataFrame | None = None,
         .otherwise(ACCEPTED)
     )
     return (late_by(lateness_class(marked, policy)).withColumn("outcome", outcome)
-            .drop("is_first", "lateness", "storable", "device_known"))
+            .drop("is_first", "lateness", "storable", "device_known", "_content"))
 
 
 def ingest_outcome(deliveries: DataFrame, devices: DataFrame, seen: DataFrame | None = None,

@@ -87,7 +87,8 @@ def _ordinary_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float,
 
 
 def _weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float, name: str) -> DataFrame:
-    counted = rows.groupBy(*keys, value).agg(F.sum("_weight").alias("_n"))
+    # Dealt by group at once, so that adding up, ranking and the result take one shuffle and not two. No group is too large for one task here.
+    counted = rows.repartition(*keys).groupBy(*keys, value).agg(F.sum("_weight").alias("_n"))
     in_order = Window.partitionBy(*keys).orderBy(value)
     everything = Window.partitionBy(*keys)
     ranked = counted.withColumns({"_upto": F.sum("_n").over(in_order), "_all": F.sum("_n").over(everything)})

@@ -110,11 +110,11 @@ def window_metrics(readings: DataFrame, policy: WindowPolicy = DEFAULT_POLICY,
     """Average, p95 and count per window of the stored readings that count, or just of windows in ``only``."""
     accepted = drop_too_late(readings, policy)
     if only is not None:
-        accepted = _within(accepted, only, keys, hot)
+        accepted = rows_within(accepted, only, keys, hot)
     return group_stats(accepted, keys, hot=hot)
 
 
-def _within(rows: DataFrame, only: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
+def rows_within(rows: DataFrame, only: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
     """Rows of the given windows; few windows are broadcast, so that the rows are not shuffled for it."""
     only = only.select(*keys).distinct()
     if few_bytes(only, MAX_BROADCAST_BYTES):

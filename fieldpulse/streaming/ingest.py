@@ -26,9 +26,10 @@ from fieldpulse.operators.dedup import KEY, MAX_BROADCAST_BYTES, answer_duplicat
 from fieldpulse.operators.outcome import (
     DROPPED_LATE, DUPLICATE, check_deliveries, counted_rows, label_outcomes, outcome_counts, rejected_rows, stored_rows,
 )
+from fieldpulse.operators.quantile import group_stats
 from fieldpulse.operators.skew import HotGroups
 from fieldpulse.operators.windows import (
-    DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, window_metrics,
+    DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, rows_within,
 )
 from fieldpulse.schemas import DEVICE_CHANGE, READING
 from fieldpulse.streaming.progress import last_commit
@@ -51,10 +52,10 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
         earlier = store.readings().where(F.col("batch_id") != batch_id)
         index.build(earlier)
         store.window_counts(policy).build(drop_too_late(earlier, policy))
-    checked = check_deliveries(deliveries, devices).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = check_deliveries(deliveries, devices, message=False).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = index.seen(checked.where("storable"), batch_id)
-        _write_labelled(label_outcomes(checked, seen.select(KEY), policy), batch_id, store, policy, hot, seen)
+        _write_labelled(label_outcomes(checked, seen.select(KEY), policy, hot), batch_id, store, policy, hot, seen)
     finally:
         checked.unpersist()
     index.merge(batch_id)
@@ -103,8 +104,11 @@ def _write_counted(labelled: DataFrame, batch_id: int, store: Store, policy: Win
 def _answers(labelled: DataFrame, seen: DataFrame, store: Store, hot: HotGroups) -> DataFrame:
     """The batch's duplicates with the reading stored for their key, by this batch or an earlier one."""
     earlier = store.readings_at(seen).select(*READING.names).join(seen.select(KEY), KEY, "left_semi")
-    own = stored_rows(labelled).select(*READING.names)
-    return answer_duplicates(labelled.where(F.col("outcome") == DUPLICATE), own.unionByName(earlier), hot=hot)
+    own, duplicates = stored_rows(labelled).select(*READING.names), labelled.where(F.col("outcome") == DUPLICATE)
+    asked = duplicates.select(KEY).distinct()
+    if few_bytes(asked, MAX_BROADCAST_BYTES):  # then the readings without a duplicate are not shuffled
+        own = own.join(F.broadcast(asked), KEY, "left_semi")
+    return answer_duplicates(duplicates, own.unionByName(earlier), hot=hot)
 
 
 def _side_by_side(writes: list[Callable[[], None]]) -> None:
@@ -140,7 +144,12 @@ def touched_metrics(store: Store, batch_id: int, policy: WindowPolicy = DEFAULT_
     inside = (F.col("event_date").between(span["first"].date(), end.date())
               & (F.col("recorded_at") >= utc_literal(span["first"]))
               & (F.col("recorded_at") < utc_literal(end)))
-    return window_metrics(readings.where(inside), policy, hot=hot, only=added.select(*WINDOW_KEYS))
+    counted = drop_too_late(readings.where(inside & (F.col("batch_id") != batch_id)), policy)
+    before = counted.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last")).first()
+    if before["first"] is not None:  # of the earlier readings those in windows of the batch
+        near = F.col("window_start").between(utc_literal(before["first"]), utc_literal(before["last"]))
+        added = added.unionByName(rows_within(counted, added.where(near), WINDOW_KEYS, hot))
+    return group_stats(added.na.drop(subset=list(WINDOW_KEYS)), WINDOW_KEYS, hot=hot)
 
 
 def start_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
@@ -169,7 +178,7 @@ def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
     ids, salts = store.devices(version).select("id"), DEVICE_SALTS
     if few_bytes(ids, max_broadcast):
         ids, salts = F.broadcast(ids), 1
-    both = with_new_keys(check_deliveries(deliveries, ids, salts), F.col("storable"))
+    both = with_new_keys(check_deliveries(deliveries, ids, salts, message=False), F.col("storable"))
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
         store.devices_version(batch_id, version)
@@ -177,7 +186,7 @@ def start_stateful_ingest(deliveries: DataFrame, store: Store, checkpoint: str,
         staged = store.staged(rows, batch_id)
         batch = staged.where("not _new").drop("_new")
         seen = batch.where("storable").select(KEY).distinct().join(staged.where("_new").select(KEY), KEY, "left_anti")
-        _write_labelled(label_outcomes(batch, seen, policy), batch_id, store, policy, hot)
+        _write_labelled(label_outcomes(batch, seen, policy, hot), batch_id, store, policy, hot)
 
     return (both.writeStream.outputMode("append").foreachBatch(store_batch)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

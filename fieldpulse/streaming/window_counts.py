@@ -99,9 +99,10 @@ class WindowCounts:
                 few: bool = False, seen: Row | None = None) -> DataFrame:
         """Metrics of the distinct ``windows(device_id, metric_type, window_start)`` of a batch over all their rows so far.
 
-        Runs and days without one of the windows are not read. Windows that had ended before the batch are answered from ``readings``, the stored
-        rows that count, with their window; without ``readings`` they are left out. ``few`` says that the windows can be broadcast, and ``seen`` is
-        what ``add`` returned for the batch.
+        They are all windows of the batch, so its own counts need no join with them; a window without a device or metric has no metrics. Runs and days
+        without one of the windows are not read. Windows that had ended before the batch are answered from ``readings``, the stored rows that count,
+        with their window; without ``readings`` they are left out. ``few`` says that the windows can be broadcast, and ``seen`` is what ``add``
+        returned for the batch.
         """
         over, clock = self._ended(batch_id), self.clock(batch_id)
         if seen is not None and (clock is None or seen["first"] + (self.policy.close_after or self.policy.bin) + self.policy.grace + self.horizon >= clock):
@@ -111,14 +112,18 @@ class WindowCounts:
                                F.max(F.when(over, F.col("window_start"))).alias("last_ended")).first()
         ended = windows.where(over)
         runs = [] if span["first"] is None else [run for run in self.runs.live() if from_note(run.about["first"]) <= span["last"] and span["first"] <= from_note(run.about["last"])]
-        if runs:
-            days = F.col("window_date").between(span["first"].date(), span["last"].date())
-            counts = self._read([run.name for run in runs]).where(days & F.col("window_start").between(utc_literal(span["first"]), utc_literal(span["last"])))
-        else:
-            counts = self.spark.createDataFrame([], _COUNTS)
+        own = [run.name for run in runs if (run.level, run.first_batch) == (0, batch_id)]
+        others = [run for run in runs if run.name not in own]
+        counts = self._read(own).where(~over).na.drop(subset=list(WINDOW_KEYS)) if own else self.spark.createDataFrame([], _COUNTS)
+        if others:
+            first = max(span["first"], min(from_note(run.about["first"]) for run in others))
+            last = min(span["last"], max(from_note(run.about["last"]) for run in others))
+            near = F.col("window_start").between(utc_literal(first), utc_literal(last))
+            earlier = self._read([run.name for run in others]).where(F.col("window_date").between(first.date(), last.date()) & near)
+            counts = counts.unionByName(_of(earlier, windows.where(~over & near), hot, few))
         # Runs of few rows in all have no hot group, so there is no need to look for one.
         look = None if sum(run.about["rows"] for run in runs) <= hot.min_rows else hot
-        metrics = group_stats(_of(counts, windows.where(~over), hot, few), WINDOW_KEYS, hot=look, weight="n")
+        metrics = group_stats(counts, WINDOW_KEYS, hot=look, weight="n")
         if readings is None or span["first_ended"] is None:
             return metrics
         first, end = span["first_ended"], span["last_ended"] + self.policy.bin
