@@ -135,8 +135,8 @@ class KeyIndex:
         asked = (probe.select(KEY, _seed().alias("seed"), each)
                  .select("seed", "_run.run", "_run.share", _slot(F.col("_run.slots")).alias("slot"))
                  .withColumn("bucket", F.expr("slot div share")))
-        all_ = [Row(run=run.name, bucket=bucket) for run in runs.values() for bucket in range(-(-run.about["slots"] // self._share(run)))] if (
-            sum(run.about["slots"] for run in runs.values()) <= FEW_SLOTS) else None
+        all_ = [Row(run=run.name, bucket=0) for run in runs.values()] if (  # any key hashes to the only file of such runs
+            all(run.about["slots"] <= self._share(run) for run in runs.values()) and sum(run.about["slots"] for run in runs.values()) <= FEW_SLOTS) else None
         near = self._folders(all_ or asked.select("run", "bucket").distinct().collect(), runs, "filters")
         if not near:
             return []
