@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.operators.skew import HotGroups, hot_limit, spread_join
+from fieldpulse.operators.skew import HotGroups, look, spread_join, tasks_for
 
 KEY = "idempotency_key"
 ARRIVAL = ("ingested_at", "delivery_seq")
@@ -64,8 +64,9 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
         # A number first, as rows are sorted by it faster than by text.
         dealt = rows.withColumn("_can", can).withColumns({
             "_spread": F.when(F.col("_can"), F.xxhash64(key)).otherwise(F.col("_content")), "_of": F.when(F.col("_can"), F.col(key))})
-        if hot_limit(dealt, ("_spread", "_of"), hot) is None:
-            return _first_in_order(dealt, key, order, seen, name).select(*deliveries.columns, name)
+        limit, total = look(dealt, ("_spread", "_of"), hot)
+        if limit is None:
+            return _first_in_order(dealt, key, order, seen, name, tasks_for(rows.sparkSession, total)).select(*deliveries.columns, name)
     candidates = rows if eligible is None else rows.where(eligible)
     winners = candidates.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     if seen is not None:
@@ -79,13 +80,14 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
         *deliveries.columns, F.coalesce(F.col("_wins") & (F.col("_copy") == 1), F.lit(False)).alias(name))
 
 
-def _first_in_order(dealt: DataFrame, key: str, order: Sequence[str], seen: DataFrame | None, name: str) -> DataFrame:
-    """Flags the first row of each ``_of`` by one sort; a seen key has a row of its own before all others. Rows that are not eligible are dealt
+def _first_in_order(dealt: DataFrame, key: str, order: Sequence[str], seen: DataFrame | None, name: str, tasks: int) -> DataFrame:
+    """Flags the first row of each ``_of`` by one sort in ``tasks`` tasks; a seen key has a row of its own before all others. Rows that are not eligible are dealt
     by content. A key or a first place that is not known has no first row."""
     rows = dealt.withColumn("_seen", F.lit(False))
     if seen is not None:
         stored = seen.select(key, F.lit(True).alias("_can"), F.xxhash64(key).alias("_spread"), F.col(key).alias("_of"), F.lit(True).alias("_seen"))
         rows = rows.unionByName(stored, allowMissingColumns=True)
+    rows = rows.repartition(tasks, "_spread", "_of")
     place = F.row_number().over(Window.partitionBy("_spread", "_of").orderBy(F.col("_seen").desc(), *order))
     known = F.lit(True)
     for column in (key, *order):

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldpulse.session import scratch_dir
 
+TASK_ROWS = 131_072
+LEAST_ROWS = 8_192
+
 
 @dataclass(frozen=True)
 class HotGroups:
@@ -50,12 +53,26 @@ def hot_limit(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> int | Non
     Counting every group would shuffle a row per group; a group is no larger than its slot, so counting
     slots is enough to rule hot groups out. Two numbers reach the driver.
     """
+    return look(rows, keys, hot)[0]
+
+
+def look(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> tuple[int | None, int]:
+    """What ``hot_limit`` returns, and about how many rows there are."""
     seen = _slot_counts(rows, keys, hot).agg(
         F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
     if seen["total"] is None:
-        return None
+        return None, 0
     limit = max(hot.min_rows, seen["total"] // hot.max_groups)
-    return limit if seen["largest"] > limit else None
+    return (limit if seen["largest"] > limit else None), seen["total"]
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many rows: one per ``TASK_ROWS``, or fewer rows each while there are cores, but not below ``LEAST_ROWS``.
+
+    For frames that are cached after a shuffle: AQE leaves the partitions of a cached plan alone, and each shuffle that starts from them opens a
+    file per task and partition.
+    """
+    return max(1, -(-rows // TASK_ROWS), min(spark.sparkContext.defaultParallelism, rows // LEAST_ROWS))
 
 
 def hot_groups(rows: DataFrame, keys: Sequence[str], hot: HotGroups, limit: int,

@@ -3,7 +3,7 @@ import random
 from telemetry_rows import at
 from pyspark.sql import functions as F
 
-from fieldpulse.operators import dedup
+from fieldpulse.operators import dedup, outcome
 from fieldpulse.operators.skew import HotGroups
 
 
@@ -76,3 +76,20 @@ def test_the_content_key_lets_copies_through(deliveries):
     assert frame.dropDuplicates(["device_id", "metric_type", "recorded_at"]).count() == 2
     kept = dedup.dedup_first_wins(frame).collect()
     assert [row["recorded_at"] for row in kept] == [at("00:11")]
+
+
+def test_cached_labels_have_tasks_by_their_rows(spark, deliveries, devices):
+    """AQE leaves a cached plan's partitions alone, and each shuffle that starts from them costs a file per task and partition."""
+    rows = spark.range(20_000).crossJoin(deliveries(("a", "00:10", "00:20", 1.0)).withColumn("decode_error", F.lit(False)))
+    rows = rows.withColumn("idempotency_key", F.concat("idempotency_key", (F.col("id") % 15_000).cast("string"))).withColumn("delivery_seq", F.col("id")).drop("id")
+    checked = outcome.check_deliveries(rows, devices("d1"), message=False).persist()
+    labelled = outcome.label_outcomes(checked, hot=HotGroups()).persist()
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert {row.outcome: row["count"] for row in labelled.groupBy("outcome").count().collect()} == {"ACCEPTED": 15_000, "DUPLICATE": 5_000}
+        assert labelled.rdd.getNumPartitions() <= 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+        labelled.unpersist()
+        checked.unpersist()
