@@ -12,6 +12,7 @@ Rows may carry a weight: then a row stands for that many equal values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,9 +87,10 @@ def _ordinary_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float,
         F.count(F.lit(1)).alias("count"))
 
 
-def _weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float, name: str) -> DataFrame:
+def _weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float, name: str, tasks: int | None = None) -> DataFrame:
     # Dealt by group at once, so that adding up, ranking and the result take one shuffle and not two. No group is too large for one task here.
-    counted = rows.repartition(*keys).groupBy(*keys, value).agg(F.sum("_weight").alias("_n"))
+    dealt = rows.repartition(*keys) if tasks is None else rows.repartition(tasks, *keys)
+    counted = dealt.groupBy(*keys, value).agg(F.sum("_weight").alias("_n"))
     in_order = Window.partitionBy(*keys).orderBy(value)
     everything = Window.partitionBy(*keys)
     ranked = counted.withColumns({"_upto": F.sum("_n").over(in_order), "_all": F.sum("_n").over(everything)})
@@ -98,15 +100,16 @@ def _weighted_stats(rows: DataFrame, keys: Sequence[str], value: str, q: float,
 
 
 def group_stats(rows: DataFrame, keys: Sequence[str], value: str = "value", q: float = 0.95,
-                name: str = "p95", hot: HotGroups | None = HotGroups(), weight: str | None = None) -> DataFrame:
+                name: str = "p95", hot: HotGroups | None = HotGroups(), weight: str | None = None, tasks: int | None = None) -> DataFrame:
     """``average``, nearest-rank quantile and ``count`` of ``value`` per group.
 
     Reads ``rows`` once to look for hot groups, so hand in a stored table rather than a long lineage. ``weight`` names a column that
-    says how many equal values a row stands for. No ``hot`` says that no group can be hot.
+    says how many equal values a row stands for. No ``hot`` says that no group can be hot. ``tasks`` is for weighted rows whose metrics are cached
+    (see ``tasks_for``).
     """
     keys = list(keys)
     rows = rows.select(*keys, value, (F.lit(1) if weight is None else F.col(weight)).cast("long").alias("_weight"))
-    ordinary_stats = _ordinary_stats if weight is None else _weighted_stats
+    ordinary_stats = _ordinary_stats if weight is None else partial(_weighted_stats, tasks=tasks)
     limit = None if hot is None else hot_limit(rows, keys, hot)
     if limit is None:
         return ordinary_stats(rows, keys, value, q, name)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from telemetry_rows import DAY0, at
 
 from fieldpulse.functions.files import child_folders, delete_folder
-from fieldpulse.operators.windows import DEFAULT_POLICY, drop_too_late, window_metrics
+from fieldpulse.functions.times import utc_literal
+from fieldpulse.operators.windows import DEFAULT_POLICY, WINDOW_KEYS, drop_too_late, window_metrics
 from fieldpulse.schemas import DEVICE, DEVICE_CHANGE
 from fieldpulse.sources import messages as files
 from fieldpulse.streaming import ingest, stateful
@@ -184,3 +185,20 @@ def test_folders(spark, tmp_path):
     delete_folder(spark, str(tmp_path / "x"))
     delete_folder(spark, str(tmp_path / "x"))
     assert not (tmp_path / "x").exists()
+
+
+def test_metrics_of_a_batch_have_tasks_by_their_rows(spark, tmp_path):
+    """They are cached before they are written, and AQE leaves the partitions of a cached plan alone."""
+    counts, few = WindowCounts(spark, str(tmp_path)), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(2_000).select(
+        F.concat(F.lit("d"), F.col("id") % 50).alias("device_id"), F.lit("m").alias("metric_type"), utc_literal(at("00:00")).alias("window_start"),
+        F.col("id").cast("double").alias("value"), utc_literal(at("00:10")).alias("ingested_at"))
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        counts.add(rows, 0)
+        metrics = counts.touched(rows.select(*WINDOW_KEYS).distinct(), 0).persist()
+        assert sorted((row.device_id, row["count"]) for row in metrics.collect()) == sorted((f"d{i}", 40) for i in range(50))
+        assert metrics.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+    metrics.unpersist()
