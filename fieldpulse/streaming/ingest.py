@@ -54,7 +54,8 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
         store.window_counts(policy).build(drop_too_late(earlier, policy))
     checked = check_deliveries(deliveries, devices, message=False).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        seen = index.seen(checked.where("storable"), batch_id)
+        # Staged, as the labels and the answers ask for it several times.
+        seen = store.staged(index.seen(checked.where("storable"), batch_id), batch_id, "staging_seen")
         _write_labelled(label_outcomes(checked, seen.select(KEY), policy, hot), batch_id, store, policy, hot, seen)
     finally:
         checked.unpersist()

@@ -116,17 +116,18 @@ class KeyIndex:
 
     def seen(self, keys: DataFrame, batch_id: int | None = None, max_broadcast: int = MAX_BROADCAST_BYTES) -> DataFrame:
         """The ``keys(idempotency_key)`` that earlier batches stored, with event_date and batch_id of their reading."""
-        probe = keys.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-        paths = self.key_files(probe, batch_id)
+        asked = keys.select(KEY).where(F.col(KEY).isNotNull())
+        paths = self.key_files(asked, batch_id)
         if not paths:
             return self.spark.createDataFrame([], f"{KEY} string, event_date date, batch_id long")
+        probe = asked.distinct()
         # Where the index has few keys, the optimizer may choose the join by itself.
         if sum(run.about["keys"] for run in self.runs.live(batch_id)) > FEW_KEYS and few_bytes(probe, max_broadcast):
             probe = F.broadcast(probe)
         return self.runs.read(_KEYS, paths).select(KEY, *PLACE).join(probe, KEY, "left_semi")
 
     def key_files(self, probe: DataFrame, batch_id: int | None = None) -> list[str]:
-        """Folders of the buckets that may hold one of the distinct keys of ``probe``. The driver gets bucket numbers, never keys."""
+        """Folders of the buckets that may hold one of the keys of ``probe``, which may repeat, as only buckets are told apart. The driver gets bucket numbers, never keys."""
         runs = {run.name: run for run in self.runs.live(batch_id)}
         if not runs:
             return []

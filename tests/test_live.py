@@ -202,3 +202,13 @@ def test_metrics_of_a_batch_have_tasks_by_their_rows(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", few)
     metrics.unpersist()
+
+
+def test_stored_keys_are_looked_up_once_per_batch(spark, deliveries, store, devices, monkeypatch):
+    rows = deliveries(("a", "00:10", "00:12", 1.0), ("b", "00:10", "00:13", 2.0)).withColumn("decode_error", F.lit(False))
+    asked, label = [], ingest.label_outcomes
+    monkeypatch.setattr(ingest, "label_outcomes", lambda checked, seen, *rest: asked.append(seen) or label(checked, seen, *rest))
+    for batch_id in (0, 1):
+        ingest.ingest_batch(rows, batch_id, store, devices=devices("d1"))
+    assert asked[1].inputFiles() and all("/key_index/" not in name for name in asked[1].inputFiles())
+    assert sorted(row.stored_value for row in store.answers().collect()) == [1.0, 2.0]
