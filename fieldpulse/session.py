@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,3 +45,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="fieldpulse-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def cached(rows: DataFrame) -> DataFrame:
+    """Rows cached in as many partitions as AQE finds fit. By default a cached plan that ends in a shuffle keeps one per shuffle partition,
+    and each shuffle that starts from the rows then opens a file per pair of partitions. Blocks of a lost executor are computed again."""
+    conf, name = rows.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = conf.get(name)
+    conf.set(name, "true")  # read when the plan is cached
+    try:
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        conf.set(name, before)

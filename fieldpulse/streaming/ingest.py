@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import InheritableThread, StorageLevel
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,6 +32,7 @@ from fieldpulse.operators.windows import (
     DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy, drop_too_late, rows_within,
 )
 from fieldpulse.schemas import DEVICE_CHANGE, READING
+from fieldpulse.session import cached
 from fieldpulse.streaming.progress import last_commit
 from fieldpulse.streaming.stateful import with_new_keys
 from fieldpulse.streaming.store import Store
@@ -52,7 +53,7 @@ def ingest_batch(deliveries: DataFrame, batch_id: int, store: Store,
         earlier = store.readings().where(F.col("batch_id") != batch_id)
         index.build(earlier)
         store.window_counts(policy).build(drop_too_late(earlier, policy))
-    checked = check_deliveries(deliveries, devices, message=False).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = cached(check_deliveries(deliveries, devices, message=False))
     try:
         # Staged, as the labels and the answers ask for it several times.
         seen = store.staged(index.seen(checked.where("storable"), batch_id), batch_id, "staging_seen")
@@ -68,7 +69,7 @@ def _write_labelled(labelled: DataFrame, batch_id: int, store: Store, policy: Wi
     """Writes all tables of a batch. ``seen`` holds the keys stored before, with the place of their reading, if the key index is in use."""
     # Labels serve several writes; blocks of a lost executor are computed again. Without an index the readings come
     # last, as writing to a table drops cached rows that were derived from it.
-    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = cached(labelled)
     try:
         store.write_outcomes(outcome_counts(labelled), batch_id)  # reads all rows, so the others find them cached
         stored = stored_rows(labelled)

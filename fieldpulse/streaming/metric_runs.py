@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fieldpulse.functions.times import utc_literal
 from fieldpulse.operators.windows import WINDOW_KEYS
 from fieldpulse.schemas import WINDOW_METRICS
+from fieldpulse.session import cached
 from fieldpulse.streaming.runs import Runs, as_note
 
 ORDER = ("window_start", "device_id", "metric_type")
@@ -47,7 +48,7 @@ class MetricRuns:
         runs, name = self.runs, Runs.name(level, first, last)
         key = F.struct("window_start", "device_id")
         low, high = F.min(key).alias("low"), F.max(key).alias("high")
-        rows = rows.persist()
+        rows = cached(rows)
         try:
             seen = rows.agg(F.count(F.lit(1)).alias("rows"), low, high).first()
             if not seen["rows"]:

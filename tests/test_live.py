@@ -10,6 +10,7 @@ from fieldpulse.functions.files import child_folders, delete_folder
 from fieldpulse.functions.times import utc_literal
 from fieldpulse.operators.windows import DEFAULT_POLICY, WINDOW_KEYS, drop_too_late, window_metrics
 from fieldpulse.schemas import DEVICE, DEVICE_CHANGE
+from fieldpulse.session import cached
 from fieldpulse.sources import messages as files
 from fieldpulse.streaming import ingest, stateful
 from fieldpulse.streaming.store import Store
@@ -212,3 +213,16 @@ def test_stored_keys_are_looked_up_once_per_batch(spark, deliveries, store, devi
         ingest.ingest_batch(rows, batch_id, store, devices=devices("d1"))
     assert asked[1].inputFiles() and all("/key_index/" not in name for name in asked[1].inputFiles())
     assert sorted(row.stored_value for row in store.answers().collect()) == [1.0, 2.0]
+
+
+def test_cached_rows_have_partitions_by_their_size(spark):
+    few, name = spark.conf.get("spark.sql.shuffle.partitions"), "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(name)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = cached(spark.range(1_000).withColumn("k", F.col("id") % 10).join(spark.range(10).withColumnRenamed("id", "k").hint("merge"), "k", "left"))
+        assert rows.count() == 1_000 and rows.rdd.getNumPartitions() == 1
+        assert spark.conf.get(name) == before
+        rows.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
