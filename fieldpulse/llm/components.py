@@ -23,17 +23,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = stored(edges.where(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
+    rows, mark = edges.count(), None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _smallest_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        small = _smallest_neighbour(large)
-        edges = stored(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                       .unionByName(small.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
+        small = _smallest_neighbour(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        edges = stored(small.where("u != v").distinct(), "edges", 2 * rows)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
-        mark = now
+        rows, mark = now[0], now
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -2,10 +2,10 @@
 
 Documents with the same set of word shingles form a class; only one representative of each class is joined.
 Every representative gets a signature per tree, a short sequence of minimum hashes. A tree is the trie of all its
-signatures; a run of signatures with the same first ``depth`` values is a node. The join starts at the deepest
-nodes and shortens the prefix by one value at a time. It stops where even a pair right at the threshold, the hardest to
-find, has been found with the target recall (or at the shortest prefix, with ``Forest.floor_recall``). The pairs found
-so far have no say in that: a large group of copies would lift any figure over all pairs.
+signatures; a run of signatures with the same first ``depth`` values is a node. The join takes the deepest nodes and those
+of prefixes one value shorter at a time. It stops where even a pair right at the threshold, the hardest to
+find, is found with the target recall (or at the shortest prefix, with ``Forest.floor_recall``). The pairs found
+have no say in that: a large group of copies would lift any figure over all pairs. So the depths are known before, and one job compares them all.
 
 A large group of near copies would cost a comparison per pair. So the members of nodes of more than ``Forest.hub`` members get a pivot first, the
 shingles that most of a small sample of them share, and every member is compared exactly with its pivot. The Jaccard distance is a metric: two documents
@@ -20,7 +20,7 @@ Links are counted and pooled per block pair, so no row per pair is ever made.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldpulse.llm.components import connected_components
-from fieldpulse.llm.tables import ship, stored, whole_groups
+from fieldpulse.llm.tables import LONG_ROW, ship, stored, whole_groups
 from fieldpulse.llm.words import mix, shingles, slices, words
 
 PAIRS_AT_ONCE = 1 << 15
@@ -61,6 +61,12 @@ class Forest:
         """Chance that a pair shares a prefix of ``depth`` values in some tree."""
         return 1 - (1 - similarity ** depth) ** self.trees
 
+    @property
+    def depths(self) -> list[int]:
+        """Prefix lengths from the longest down to where a pair right at the threshold is found with the target recall."""
+        enough = [depth for depth in range(self.least_depth, self.depth + 1) if self.chance(np.float64(self.threshold), depth) >= self.target_recall]
+        return list(range(self.depth, max([self.least_depth, *enough]) - 1, -1))
+
     @property
     def floor_recall(self) -> float:
         return float(self.chance(np.float64(self.threshold), self.least_depth))
@@ -138,21 +144,23 @@ def _with_id(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2("text", 256)).alias("text_key"), "text").where("doc_id is not null")
 
 
-def _prefix(tree: Column, depth: int, forest: Forest) -> Column:
+def _prefix(tree: Column, depth: Column, forest: Forest) -> Column:
     """Key of the trie node: tree and the first ``depth`` values of its signature."""
-    return F.xxhash64(tree, F.substring("signature", tree * F.lit(4 * forest.depth) + F.lit(1), F.lit(4 * depth)))
+    return F.xxhash64(tree, F.substring("signature", tree * F.lit(4 * forest.depth) + F.lit(1), depth * F.lit(4)))
 
 
-def _members(reps: DataFrame, depth: int, forest: Forest, *columns: str) -> DataFrame:
-    """(node, tree, doc and ``columns``): every representative in its node of every tree."""
-    rows = reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
-    return rows.select(_prefix(F.col("tree"), depth, forest).alias("node"), "tree", "doc", *columns)
+def _members(reps: DataFrame, depths: int | Sequence[int], forest: Forest, *columns: str) -> DataFrame:
+    """(node, tree, depth, doc and ``columns``): every representative in its node of every tree at each of the depths."""
+    at = [depths] if isinstance(depths, int) else depths
+    rows = (reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
+            .withColumn("depth", F.explode(F.array(*map(F.lit, at)))))
+    return rows.select(_prefix(F.col("tree"), F.col("depth"), forest).alias("node"), "tree", "depth", "doc", *columns)
 
 
-def _nodes(reps: DataFrame, depth: int, forest: Forest) -> DataFrame:
-    """The members of the trie nodes at ``depth`` that have a pair to compare, plus the node's counts: ``inner`` members of the node's largest cluster, if
+def _nodes(reps: DataFrame, depths: int | Sequence[int], forest: Forest) -> DataFrame:
+    """The members of the trie nodes at ``depths`` that have a pair to compare, plus the node's counts: ``inner`` members of the node's largest cluster, if
     that is larger than a block, and ``outer`` others."""
-    members = _members(reps, depth, forest, "n_shingles", "leader")
+    members = _members(reps, depths, forest, "n_shingles", "leader")
     per_cluster = members.groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("longest"))
     shared = per_cluster.groupBy("node").agg(
         F.sum("n").alias("members"), F.max("longest").alias("longest"), F.max(F.when(F.col("leader") >= 0, F.struct("n", "leader"))).alias("bulk"))
@@ -174,24 +182,25 @@ def _dealt(nodes: DataFrame, forest: Forest) -> DataFrame:
     return (nodes.withColumn("outer_blocks", F.ceil(F.col("outer") / size)).withColumn("inner_blocks", F.ceil(F.col("inner") / size))
             .withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), partners - 1)))
             .select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
-                    "tree", "doc", "leader", F.col("block").cast("int").alias("block"),
+                    "tree", "depth", "doc", "leader", F.col("block").cast("int").alias("block"),
                     (F.col("block") != F.col("other")).alias("crossed")))
 
 
-def _gathered(free: DataFrame, forest: Forest) -> DataFrame | None:
+def _gathered(free: DataFrame, rows: int, forest: Forest) -> DataFrame | None:
     """(doc, leader) for the members of nodes with more than ``hub`` members; None if there is no such node.
 
     A document's rank is the size of all its large nodes: a central one lies in the largest node of most trees. Everyone follows the
     highest-ranking document it shares a large node with, so a group that is spread over the nodes of several trees comes together.
     """
     members = _members(free, forest.depth, forest)
-    large = stored(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > forest.hub), "large-nodes")
-    if large.isEmpty():
+    large = stored(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > forest.hub), "large-nodes", rows)
+    held = large.agg(F.sum("n")).first()[0]
+    if held is None:
         return None
     placed = stored(members.join(large, "node"), "large-members")
     rank = placed.groupBy("doc").agg(F.sum("n").alias("rank"))
-    best = stored(placed.select("node", "doc").join(rank, "doc").groupBy("node").agg(F.max(F.struct("rank", (-F.col("doc")).alias("back"))).alias("best")), "leaders")
-    return stored(placed.join(best, "node").groupBy("doc").agg((-F.max("best")["back"]).alias("leader")), "led")
+    best = stored(placed.select("node", "doc").join(rank, "doc").groupBy("node").agg(F.max(F.struct("rank", (-F.col("doc")).alias("back"))).alias("best")), "leaders", held)
+    return stored(placed.join(best, "node").groupBy("doc").agg((-F.max("best")["back"]).alias("leader")), "led", held)
 
 
 def _pivots(led: DataFrame, sizes: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
@@ -217,19 +226,21 @@ def _close_to_pivot(led: DataFrame, sets: DataFrame, forest: Forest) -> DataFram
                 if both >= forest.close * (len(a) + len(b) - both):
                     keep.append(row)
             yield batch.select(["doc", "leader"]).take(pa.array(keep, pa.int32()))
-    sizes = stored(led.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "leader-sizes")
+    rows = led.count()
+    sizes = stored(led.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "leader-sizes", rows)
     salts = F.ceil(F.col("n") / forest.pivot_rows)
-    pivots = stored(_pivots(led, sizes, sets, forest), "pivots").join(sizes, "leader").withColumn(
+    pivots = stored(_pivots(led, sizes, sets, forest), "pivots", rows).join(sizes, "leader").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("n")
     dealt = led.join(sizes, "leader").withColumn("salt", F.pmod(F.xxhash64("doc"), salts)).drop("n")
-    return dealt.join(sets, "doc").join(pivots, ["leader", "salt"]).select("doc", "leader", "shingles", "pivot").mapInArrow(run, "doc long, leader long")
+    both = dealt.join(sets, "doc").join(pivots, ["leader", "salt"]).select("doc", "leader", "shingles", "pivot")
+    return both.coalesce(max(1, -(-rows // forest.pivot_rows))).mapInArrow(run, "doc long, leader long")
 
 
 def _clusters(reps: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
     """``reps`` with the ``leader`` that names the cluster of each document, -1 for those in none."""
-    free, found = reps, None
+    free, found, rows = reps, None, reps.count() * forest.trees
     for number in range(forest.rounds):
-        led = _gathered(free, forest)
+        led = _gathered(free, rows, forest)
         if led is None:
             break
         close = stored(_close_to_pivot(led, sets, forest), "clusters")
@@ -257,11 +268,14 @@ def _pairs(cells: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         first = last
 
 
-def candidates(reps: DataFrame, dealt: DataFrame, depth: int, forest: Forest) -> DataFrame:
-    """(cell, doc, partners): which documents of a cell to compare with which later ones, by signature alone."""
+def candidates(reps: DataFrame, dealt: DataFrame, forest: Forest) -> DataFrame:
+    """(cell, doc, partners): which documents of a cell to compare with which later ones, by signature alone.
+
+    A pair belongs to the cell at the depth of its longest common prefix, in the first tree that has it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell"):
-            cells, docs, tree, leader = (table.column(name).to_numpy() for name in ("cell", "doc", "tree", "leader"))
+            cells, docs, tree, depth, leader = (table.column(name).to_numpy() for name in ("cell", "doc", "tree", "depth", "leader"))
             block, crossed = table.column("block").to_numpy(), table.column("crossed").to_numpy()
             sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), ">u4").astype(np.uint32)
             sign = sign.reshape(len(cells), forest.trees, forest.depth)
@@ -271,10 +285,8 @@ def candidates(reps: DataFrame, dealt: DataFrame, depth: int, forest: Forest) ->
                 keep = ((block[a] != block[b]) | ~crossed[a]) & ((leader[a] != leader[b]) | (leader[a] < 0))
                 a, b = a[keep], b[keep]
                 same = sign[a] == sign[b]
-                here = same[:, :, :depth].all(axis=2)
-                keep = (here.argmax(axis=1) == tree[a]) & here.any(axis=1) & (same.mean(axis=(1, 2)) >= forest.screen)
-                if depth < forest.depth:
-                    keep &= ~same[:, :, :depth + 1].all(axis=2).any(axis=1)
+                common = np.logical_and.accumulate(same, axis=2).sum(axis=2)
+                keep = (common.max(axis=1) == depth[a]) & (common.argmax(axis=1) == tree[a]) & (same.mean(axis=(1, 2)) >= forest.screen)
                 left.append(a[keep])
                 right.append(b[keep])
             if not left or not sum(map(len, left)):
@@ -379,32 +391,30 @@ def join_classes(docs: DataFrame, forest: Forest) -> Joined:
     """Finds classes of equal shingle sets, their links and their connected groups."""
     ship(docs.sparkSession)
     features = stored(signatures(docs, forest), "features")
+    rows = features.count()
     classes = features.groupBy("digest", "n_shingles").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"))
     # A class has a number of its own, as two classes may have the same smallest doc_id.
-    classes = stored(classes.withColumn("doc", F.monotonically_increasing_id()), "classes")
+    classes = stored(classes.withColumn("doc", F.monotonically_increasing_id()), "classes", rows)
     members = stored(features.select("doc_id", "text_key", "digest", "n_shingles").join(
-        classes.select("digest", "n_shingles", "doc"), ["digest", "n_shingles"]).select("doc_id", "text_key", "doc"), "members")
-    wide = stored(_members(classes, forest.least_depth, forest).groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node"), "shared-nodes")
-    wide = stored(_members(classes, forest.least_depth, forest).join(wide, "node", "left_semi").select("doc").distinct(), "shared")
+        classes.select("digest", "n_shingles", "doc"), ["digest", "n_shingles"]).select("doc_id", "text_key", "doc"), "members", rows)
+    wide = stored(_members(classes, forest.least_depth, forest).groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node"), "shared-nodes", rows * forest.trees)
+    wide = stored(_members(classes, forest.least_depth, forest).join(wide, "node", "left_semi").select("doc").distinct(), "shared", rows)
     reps = stored(classes.join(wide, "doc", "left_semi").select("doc", "copies", "n_shingles", "signature", "first"), "representatives")
     texts = _with_id(docs).join(reps.select("doc", "first.doc_id", "first.text_key"), ["doc_id", "text_key"])
-    sets = stored(shingle_table(texts, forest.shingle).dropDuplicates(["doc"]), "shingles")
+    sets = stored(shingle_table(texts, forest.shingle).dropDuplicates(["doc"]), "shingles", reps.count() * LONG_ROW)
     reps = _clusters(reps.drop("first"), sets, forest)
     in_cluster = reps.where("leader >= 0")
-    weights = stored(in_cluster.groupBy("leader").agg(F.sum("copies").alias("weight"), F.min("doc").alias("root")), "cluster-weights")
+    weights = stored(in_cluster.groupBy("leader").agg(F.sum("copies").alias("weight"), F.min("doc").alias("root")), "cluster-weights", rows)
     links = in_cluster.join(weights, "leader").select("doc", (F.col("weight") - F.col("copies")).alias("links"), "root")
-    for depth in range(forest.depth, forest.least_depth - 1, -1):
-        found = candidates(reps, _dealt(_nodes(reps, depth, forest), forest), depth, forest)
-        links = links.unionByName(stored(verified(found, sets, reps, forest), "links"))
-        if forest.chance(np.float64(forest.threshold), depth) >= forest.target_recall:
-            break
+    found = candidates(reps, _dealt(_nodes(reps, forest.depths, forest), forest), forest)
+    links = links.unionByName(stored(verified(found, sets, reps, forest), "links"))
     counted = links.groupBy("doc").agg(F.sum("links").alias("links"))
     groups = connected_components(links.select(F.col("doc").alias("u"), F.col("root").alias("v")))
-    groups = stored(groups.withColumnRenamed("node", "doc").join(classes.select("doc", F.col("first").alias("own")), "doc"), "components")
-    first = stored(groups.groupBy("component").agg(F.min("own").alias("first")), "first-of-each")
+    groups = stored(groups.withColumnRenamed("node", "doc").join(classes.select("doc", F.col("first").alias("own")), "doc"), "components", rows)
+    first = stored(groups.groupBy("component").agg(F.min("own").alias("first")), "first-of-each", rows)
     groups = groups.join(first, "component").select("doc", "first").join(counted, "doc", "left")
-    return Joined(members, classes.select("doc", "copies", "first"), stored(groups, "groups"))
+    return Joined(members, classes.select("doc", "copies", "first"), stored(groups, "groups", rows))
 
 
 def similar_documents(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:

@@ -12,11 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldpulse.functions.files import delete_folder
+from fieldpulse.operators.skew import tasks_for
 from fieldpulse.session import scratch_dir
 
 
 #: Bytes of the rows that a Python worker gets at once; else 10,000 rows of any length.
 BATCH_BYTES = 16 << 20
+#: A row with a text or a set of shingles counts as so many short rows.
+LONG_ROW = 8
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,10 +50,13 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """Writes a frame below the shared checkpoint folder and reads it again."""
+def stored(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """Writes a frame below the shared checkpoint folder and reads it again.
+
+    If it is known to have at most ``rows`` rows, and those are short, it is written by as many tasks as they need, and not by one per shuffle partition.
+    """
     path = scratch(frame.sparkSession, purpose)
-    frame.write.parquet(path)
+    (frame if rows is None else frame.coalesce(tasks_for(frame.sparkSession, rows))).write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldpulse.llm import decontaminate, line_dedup, mixing, ngram_join, pii, quality, secret_scan, toxicity
+from fieldpulse.llm import components, decontaminate, line_dedup, mixing, ngram_join, pii, quality, secret_scan, tables, toxicity
 from fieldpulse.llm.fm_index import FMIndex
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -136,6 +136,39 @@ def test_join_rows_grow_with_a_group_not_with_its_square(docs, spark, copies):
     assert dealt <= 40 * copies
 
 
+def test_join_compares_all_depths_in_one_job_and_writes_few_files(docs, spark, monkeypatch):
+    """AQE merges no partitions here, so that a table written after a shuffle would else have up to 32 files."""
+    written = []
+
+    def stored(frame, purpose, *rows):
+        out = tables.stored(frame, purpose, *rows)
+        written.append((purpose, len(out.inputFiles())))
+        return out
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    monkeypatch.setattr(components, "stored", stored)
+    rows = [(i, f"{PLAIN} own{i // 2}") for i in range(40)] + [(50 + i, " ".join(f"a{i}b{j}" for j in range(40))) for i in range(40)]
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        found = {row.doc_id: row.n_links for row in ngram_join.similar_documents(docs(*rows), ngram_join.Forest(hub=6)).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == {i: 39 if i < 50 else 0 for i, _ in rows}
+    assert [purpose for purpose, _ in written].count("links") == [purpose for purpose, _ in written].count("nodes") == 1
+    short = {"classes", "members", "shared-nodes", "shared", "shingles", "leaders", "led", "leader-sizes", "pivots", "clusters", "components", "first-of-each", "groups"}
+    assert short <= {purpose for purpose, _ in written}
+    assert all(files <= 1 for purpose, files in written if purpose in short)
+
+
+def test_depths_of_a_forest_end_where_the_recall_is_met():
+    assert ngram_join.Forest().depths == [5, 4, 3]
+    assert ngram_join.Forest(trees=14, least_depth=1).depths == [5, 4]
+    assert ngram_join.Forest(trees=40, least_depth=1).depths == [5]
+
+
 def test_two_texts_under_one_id_keep_their_own_links(docs):
     other = " ".join(f"other{i}" for i in range(60))
     rows = [(3, PLAIN), (9, NEAR), (9, other), (9, other), (11, other.replace("other30", "x"))]
