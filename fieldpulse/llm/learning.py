@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldpulse.llm.tables import stored
+from fieldpulse.llm.tables import LONG_ROW, stored
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -24,7 +24,7 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column,
     total = clean.count()
     chosen = clean.where(chance(F.col("doc_id"), "labels") < min(1.0, most / max(1, total)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return stored(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), purpose)
+    return stored(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), purpose, most * LONG_ROW)
 
 
 def chance(doc_id: Column, salt: str) -> Column:
