@@ -23,7 +23,7 @@ def utc_literal(at: datetime) -> Column:
 def bin_start(at: Column, size: timedelta) -> Column:
     """Start of the half-open bin [start, start + size) that holds ``at``; null for null, so no row is filtered out."""
     past = F.pmod(micros_between(utc_literal(EPOCH), at), F.lit(size // timedelta(microseconds=1)))
-    return at - F.make_dt_interval(secs=(past / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return at - F.lit(timedelta(microseconds=1)) * past
 
 
 def floor_to(at: datetime, size: timedelta) -> datetime:

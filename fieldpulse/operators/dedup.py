@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldpulse.operators.skew import HotGroups, look, spread_join, tasks_for
+from fieldpulse.operators.skew import BATCH_ROWS, HotGroups, look, spread_join, tasks_for
 
 KEY = "idempotency_key"
 ARRIVAL = ("ingested_at", "delivery_seq")
@@ -66,7 +66,7 @@ def mark_first(deliveries: DataFrame, key: str = KEY, order: Sequence[str] = ARR
             "_spread": F.when(F.col("_can"), F.xxhash64(key)).otherwise(F.col("_content")), "_of": F.when(F.col("_can"), F.col(key))})
         limit, total = look(dealt, ("_spread", "_of"), hot)
         if limit is None:
-            return _first_in_order(dealt, key, order, seen, name, tasks_for(rows.sparkSession, total)).select(*deliveries.columns, name)
+            return _first_in_order(dealt, key, order, seen, name, tasks_for(rows.sparkSession, total, BATCH_ROWS)).select(*deliveries.columns, name)
     candidates = rows if eligible is None else rows.where(eligible)
     winners = candidates.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     if seen is not None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldpulse.session import scratch_dir
 
 TASK_ROWS = 131_072
+BATCH_ROWS = 524_288  # of a cached batch, some 60 bytes each: each shuffle that starts from it opens a file per task and partition
 LEAST_ROWS = 8_192
 
 
@@ -66,13 +67,13 @@ def look(rows: DataFrame, keys: Sequence[str], hot: HotGroups) -> tuple[int | No
     return (limit if seen["largest"] > limit else None), seen["total"]
 
 
-def tasks_for(spark: SparkSession, rows: int) -> int:
-    """Tasks for so many rows: one per ``TASK_ROWS``, or fewer rows each while there are cores, but not below ``LEAST_ROWS``.
+def tasks_for(spark: SparkSession, rows: int, most: int = TASK_ROWS) -> int:
+    """Tasks for so many rows: one per ``most``, or fewer rows each while there are cores, but not below ``LEAST_ROWS``.
 
     For frames that are cached after a shuffle: AQE leaves the partitions of a cached plan alone, and each shuffle that starts from them opens a
     file per task and partition.
     """
-    return max(1, -(-rows // TASK_ROWS), min(spark.sparkContext.defaultParallelism, rows // LEAST_ROWS))
+    return max(1, -(-rows // most), min(spark.sparkContext.defaultParallelism, rows // LEAST_ROWS))
 
 
 def hot_groups(rows: DataFrame, keys: Sequence[str], hot: HotGroups, limit: int,

@@ -47,13 +47,29 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+# For frames that are cached: partitions as AQE finds fit, and columns as they are. Trying the encodings of a column on rows that
+# are read a few times takes longer than making the rows, for a fifth less memory.
+CACHE_SETTINGS = {
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    "spark.sql.inMemoryColumnarStorage.compressed": "false",
+}
+
+
 def cached(rows: DataFrame) -> DataFrame:
-    """Rows cached in as many partitions as AQE finds fit. By default a cached plan that ends in a shuffle keeps one per shuffle partition,
+    """Rows cached, at once, in as many partitions as AQE finds fit. By default a cached plan that ends in a shuffle keeps one per shuffle partition,
     and each shuffle that starts from the rows then opens a file per pair of partitions. Blocks of a lost executor are computed again."""
-    conf, name = rows.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    before = conf.get(name)
-    conf.set(name, "true")  # read when the plan is cached
+    conf = rows.sparkSession.conf
+    before = {name: conf.get(name) for name in CACHE_SETTINGS}
+    for name, value in CACHE_SETTINGS.items():
+        conf.set(name, value)  # one is read when the plan is cached, the other when its rows are
     try:
-        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            kept.count()
+        except BaseException:
+            kept.unpersist()
+            raise
+        return kept
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)

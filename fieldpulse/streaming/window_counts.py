@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fieldpulse.functions.times import EPOCH, micros_between, utc_literal
 from fieldpulse.operators.dedup import MAX_BROADCAST_BYTES, few_bytes
 from fieldpulse.operators.quantile import group_stats
-from fieldpulse.operators.skew import HotGroups, spread_join, tasks_for
+from fieldpulse.operators.skew import BATCH_ROWS, HotGroups, spread_join, tasks_for
 from fieldpulse.operators.windows import DEFAULT_POLICY, WINDOW_KEYS, WindowPolicy
 from fieldpulse.streaming.runs import Runs, as_note, from_note
 
@@ -123,7 +123,7 @@ class WindowCounts:
             counts = counts.unionByName(_of(earlier, windows.where(~over & near), hot, few))
         # Runs of few rows in all have no hot group, so there is no need to look for one.
         held = sum(run.about["rows"] for run in runs)
-        metrics = group_stats(counts, WINDOW_KEYS, hot=None if held <= hot.min_rows else hot, weight="n", tasks=tasks_for(self.spark, held))
+        metrics = group_stats(counts, WINDOW_KEYS, hot=None if held <= hot.min_rows else hot, weight="n", tasks=tasks_for(self.spark, held, BATCH_ROWS))
         if readings is None or span["first_ended"] is None:
             return metrics
         first, end = span["first_ended"], span["last_ended"] + self.policy.bin

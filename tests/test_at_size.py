@@ -1,15 +1,17 @@
 """Steps of the ingest that must not grow faster than their input: same results as the plain way, with fewer shuffles, joins and files."""
 
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from telemetry_rows import at
 
 from fieldpulse.functions.text import longer_than
+from fieldpulse.functions.times import bin_start
 from fieldpulse.operators import dedup, outcome, quantile
-from fieldpulse.operators.skew import HotGroups
+from fieldpulse.operators.skew import BATCH_ROWS, HotGroups, tasks_for
+from fieldpulse.session import CACHE_SETTINGS, cached
 from fieldpulse.streaming.window_counts import WindowCounts
 
 ROW = "idempotency_key string, ingested_at timestamp_ntz, delivery_seq long, value double"
@@ -90,3 +92,44 @@ def test_weighted_stats_take_one_shuffle(spark):
                                           ("\U0001f600" * 17, True), ("", False), (None, False)])
 def test_length_in_utf16_units(spark, text, longer):
     assert spark.createDataFrame([(text,)], "t string").select(longer_than(F.col("t"), 32)).first()[0] is longer
+
+
+def test_cached_rows_are_made_at_once_and_not_encoded(spark, monkeypatch):
+    before = {name: spark.conf.get(name) for name in CACHE_SETTINGS}
+    rows, under = spark.range(1000).select((F.col("id") * 3).alias("n")).repartition(2), []
+    count = type(rows).count
+    monkeypatch.setattr(type(rows), "count", lambda self: under.append({name: spark.conf.get(name) for name in CACHE_SETTINGS}) or count(self))
+    held = {info.id() for info in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    rows = cached(rows)
+    try:
+        assert any(info.numCachedPartitions() for info in spark.sparkContext._jsc.sc().getRDDStorageInfo() if info.id() not in held)
+        assert under == [CACHE_SETTINGS] and CACHE_SETTINGS["spark.sql.inMemoryColumnarStorage.compressed"] == "false"
+        assert rows.agg(F.sum("n")).first()[0] == 3 * sum(range(1000))
+    finally:
+        rows.unpersist(True)
+    assert {name: spark.conf.get(name) for name in CACHE_SETTINGS} == before
+
+
+def test_rows_that_cannot_be_made_are_not_kept(spark):
+    rows = spark.range(10).select(F.raise_error(F.lit("broken")).cast("long").alias("n"), "id").where("id >= 0")
+    before = {name: spark.conf.get(name) for name in CACHE_SETTINGS}
+    with pytest.raises(Exception, match="broken"):
+        cached(rows.where(F.col("n").isNull()))
+    assert not rows.where(F.col("n").isNull()).is_cached and {name: spark.conf.get(name) for name in CACHE_SETTINGS} == before
+
+
+def test_tasks_of_a_batch(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_for(spark, 360 * BATCH_ROWS, BATCH_ROWS) == max(360, cores)
+    assert tasks_for(spark, 0, BATCH_ROWS) == 1 and tasks_for(spark, BATCH_ROWS, BATCH_ROWS) == min(cores, BATCH_ROWS // 8_192)
+    # A shuffle from the labelled rows opens a file per task and partition.
+    assert tasks_for(spark, 36_000_000, BATCH_ROWS) * 4 <= tasks_for(spark, 36_000_000) + 4
+
+
+@pytest.mark.parametrize("size", [timedelta(minutes=1), timedelta(days=1), timedelta(seconds=7, microseconds=3)])
+def test_start_of_a_bin_in_whole_numbers(spark, size):
+    epoch = datetime(1970, 1, 1)
+    times = [datetime(2024, 1, 31, 23, 59, 59, 999_999), datetime(2024, 2, 1), datetime(1969, 12, 31, 23, 59, 59, 1), datetime(1583, 5, 4, 3, 2, 1, 7), None]
+    starts = spark.createDataFrame([(time,) for time in times], "at timestamp_ntz").select("at", bin_start(F.col("at"), size).alias("start"))
+    assert [row.start for row in starts.collect()] == [time and epoch + (time - epoch) // size * size for time in times]
+    assert "decimal" not in plan(starts)
